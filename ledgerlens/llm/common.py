@@ -81,14 +81,21 @@ def ids(docs: DataFrame, key: str, *more: str) -> DataFrame:
 def one_text_per_id(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text) with repeated ids reduced to the row of the smallest text.
 
-    Only ids that occur more than once travel: their set is found by shuffling ids alone, and in a table
-    without repeats the rest of the plan is empty.
+    Ids alone are counted first; where none repeats, as in a sound table, the texts don't travel at all, and else
+    only the repeated rows do.
     """
     d = ids(docs, key, text)
-    twice = d.groupBy(key).count().where("count > 1").select(key)
-    single = d.join(twice, key, "left_anti")
-    double = d.join(twice, key, "left_semi").groupBy(key).agg(F.min(text).alias(text))
-    return single.unionByName(double)
+    twice = stored(d.groupBy(key).count().where("count > 1").select(key))
+    n = twice.count()
+    if not n:
+        return d
+    side = F.broadcast(twice) if n * 64 < MAX_BROADCAST_BYTES // 8 else twice
+    return d.join(side, key, "left_anti").unionByName(d.join(side, key, "left_semi").groupBy(key).agg(F.min(text).alias(text)))
+
+
+def small(keys: DataFrame, row_bytes: int = 64, most: int = MAX_BROADCAST_BYTES // 4) -> DataFrame:
+    """Mark a stored key table for broadcast if its counted size allows; else leave the join to the planner."""
+    return F.broadcast(keys) if keys.count() * row_bytes <= most else keys
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ids, list_array, slices, stored
+from .common import ids, list_array, slices, small, stored
 from .graph import components
 from .textkernel import mix, shingles, words
 
@@ -154,3 +154,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     return every.join(group, "id", "left").select(
         F.col("id").alias("doc_id"), F.coalesce("component", "id").alias("group_id"),
         (F.coalesce("component", "id") == F.col("id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The table with one document of each group of near copies; all columns as they are.
+
+    The ids to drop are broadcast only where their counted size allows it, else both sides are shuffled by id.  Of
+    rows that repeat an id the one of the smallest text stays; rows without an id stay.
+    """
+    drop = stored(near_duplicates(docs, key, text, **how).where(~F.col("kept")).select(F.col("doc_id").alias("_drop")))
+    rest = docs.join(small(drop), F.col(key).cast("long") == F.col("_drop"), "left_anti")
+    twice = stored(docs.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("_twice")).count().where("count > 1").select("_twice"))
+    if twice.isEmpty():
+        return rest
+    same = F.col(key).cast("long") == F.col("_twice")
+    first = Window.partitionBy(key).orderBy(F.col(text).asc_nulls_last(), F.hash(*docs.columns))
+    return rest.join(small(twice), same, "left_anti").unionByName(
+        rest.join(small(twice), same, "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row"))
