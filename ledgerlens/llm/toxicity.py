@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples.
 
 Fitting: at most ``max_labelled`` labelled rows (those of the smallest id hashes) give the examples.  The
-vocabulary is the terms whose presence goes with the label: a likelihood-ratio statistic of at least ``min_g2``
-and presence in at least ``min_support`` of the rarer class.  Document frequencies are those of all documents.
+vocabulary is the terms whose presence tells the label: an odds ratio of at least ``min_odds`` in either direction,
+a likelihood-ratio statistic of at least ``min_g2`` and presence in at least ``min_support`` of the rarer class.  Document frequencies are those of all documents.
 Scoring: each document's TF-IDF vector over the vocabulary finds its ``k`` nearest examples by exact cosine in a
 block-max inverted index, whose blocks are visited in order of their upper bounds until none can still matter.
 The neighbours vote with their cosines; isotonic regression on leave-one-out votes turns votes into probabilities.
@@ -21,7 +21,7 @@ from ..session import ship
 from .common import ids, list_array, one_text_per_id, slices, stored
 from .textkernel import words
 
-MAX_LABELLED, K, MIN_G2, MIN_SUPPORT, BLOCK, CUT = 20_000, 15, 15.0, 0.01, 64, 0.5
+MAX_LABELLED, K, MIN_G2, MIN_ODDS, MIN_SUPPORT, BLOCK, CUT = 20_000, 15, 15.0, 4.0, 0.01, 64, 0.5
 
 
 def _bags(h: np.ndarray, first: np.ndarray, vocab: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +121,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(at), np.array(value)
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED, k: int = K, min_g2: float = MIN_G2, min_support: float = MIN_SUPPORT) -> dict | None:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED, k: int = K, min_g2: float = MIN_G2, min_odds: float = MIN_ODDS, min_support: float = MIN_SUPPORT) -> dict | None:
     """The model: vocabulary, idf, index, labels and calibration; None if there are no labelled texts of both kinds."""
     d = ids(docs, key, text)
     marks = ids(labels, key, "toxic").where("toxic is not null").groupBy(key).agg(F.max("toxic").alias("toxic"))
@@ -141,9 +141,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return F.when(o > 0, o * F.ln(o * (m1 + m0) / (row * col))).otherwise(0.0)
 
     g2 = 2 * (part(a, a + b, F.lit(m1)) + part(b, a + b, F.lit(m0)) + part(m1 - a, m1 + m0 - a - b, F.lit(m1)) + part(m0 - b, m1 + m0 - a - b, F.lit(m0)))
+    odds = F.abs(F.ln((a + 0.5) * (m0 - b + 0.5) / ((b + 0.5) * (m1 - a + 0.5))))
     picked = (distinct.select("toxic", F.explode("terms").alias("term")).groupBy("term")
               .agg(F.count_if(F.col("toxic") > 0).cast("double").alias("a"), F.count_if(F.col("toxic") <= 0).cast("double").alias("b"))
-              .where((a + b >= max(3.0, min_support * min(m1, m0))) & (g2 >= min_g2)).select("term").toPandas()["term"].to_numpy(np.int64))
+              .where((a + b >= max(3.0, min_support * min(m1, m0))) & (g2 >= min_g2) & (odds >= float(np.log(min_odds)))).select("term").toPandas()["term"].to_numpy(np.int64))
     vocab = np.sort(picked.view(np.uint64))
     counted = d.select(F.col(key).alias("id"), text).mapInArrow(_frequencies(vocab), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
     df = np.zeros(len(vocab) + 1)
