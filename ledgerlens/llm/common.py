@@ -56,6 +56,7 @@ def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
     Unlike a cached or locally checkpointed frame the files outlive any executor.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{scratch_root(spark)}/{uuid.uuid4().hex}"
     (df.repartition(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

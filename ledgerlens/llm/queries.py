@@ -6,17 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, packing, secrets, toxicity
+from . import bpe, egojoin, imatch, lm, minhash, packing, secrets, sharding, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"))
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -25,6 +41,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -34,4 +54,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_embedding_dedup": egojoin.ORACLE, "op5_imatch": imatch.ORACLE, "op9_sharding": sharding.oracle()}
