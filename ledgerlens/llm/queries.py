@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, egojoin, imatch, lm, minhash, packing, secrets, sharding, toxicity
+from . import bpe, egojoin, imatch, lm, minhash, packing, rangecoder, secrets, sharding, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rangecoder.write(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"))
 
