@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # letters whose canonical decomposition is a base letter and marks, over the Latin blocks
 _ACCENTED = [c for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if unicodedata.decomposition(c) and not unicodedata.decomposition(c).startswith("<")]
@@ -48,13 +49,13 @@ def strip_accents(x: Column | str) -> Column:
     return F.regexp_replace(F.translate(_c(x), "".join(a for a, _ in _PAIRS), "".join(p for _, p in _PAIRS)), r"\p{Mn}+", "")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def strip_accents_any(x: pa.Array) -> pa.Array:
     """The same for any script, by canonical decomposition."""
     return pa.array([None if v is None else "".join(c for c in unicodedata.normalize("NFD", v) if unicodedata.category(c) != "Mn") for v in x.to_pylist()], pa.string())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def unescape(x: pa.Array) -> pa.Array:
     """Character references of HTML resolved."""
     return pa.array([None if v is None else html.unescape(v) for v in x.to_pylist()], pa.string())

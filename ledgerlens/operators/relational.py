@@ -44,12 +44,23 @@ def bundle(parent: DataFrame, key: str, **children: DataFrame) -> DataFrame:
     return parent
 
 
-def status_counts(**tables: DataFrame | tuple[DataFrame, Column]) -> DataFrame:
-    """(counter, n): rows of each table, or of those a condition holds for, in one union."""
+def or_activity(left: DataFrame, right: DataFrame, key: str, ticker: str, at: str) -> DataFrame:
+    """``left`` with trade_count and latest of the rows of ``right`` that have its key or, without a key, its ticker.
+
+    Counts and maxima add up, so the right side is aggregated by each of the two before it meets the left one.
+    """
+    by = lambda rows, c: rows.groupBy(c).agg(F.count("*").alias("_n"), F.max(at).alias("_at"))
+    a, b = by(right.where(F.col(key).isNotNull()), key), by(right.where(F.col(key).isNull()), ticker)
+    both = left.join(a, key, "left").join(b.toDF(ticker, "_n2", "_at2"), ticker, "left")
+    return both.withColumn("trade_count", F.coalesce("_n", F.lit(0)) + F.coalesce("_n2", F.lit(0))).where("trade_count > 0").withColumn("latest", F.greatest("_at", "_at2")).drop("_n", "_n2", "_at", "_at2")
+
+
+def status_counts(tables: dict[str, DataFrame], **parts: dict[str, Column]) -> DataFrame:
+    """(counter, n): rows of each table and of its parts that conditions name, one pass a table."""
     out = None
-    for name, t in tables.items():
-        df, where = t if isinstance(t, tuple) else (t, F.lit(True))
-        one = df.agg(F.count(F.when(where, 1)).alias("n")).select(F.lit(name).alias("counter"), "n")
+    for name, df in tables.items():
+        counters = {name: F.lit(True)} | parts.get(name, {})
+        one = df.agg(*(F.count(F.when(c, 1)).alias(k) for k, c in counters.items())).select(F.explode(F.array(*(F.struct(F.lit(k).alias("counter"), F.col(k).alias("n")) for k in counters))).alias("_c")).select("_c.*")
         out = one if out is None else out.unionByName(one)
     return out
 

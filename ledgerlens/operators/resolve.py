@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from ..functions.text import lookup_keys, normalize_name
 
-_KINDS = ["full", "full_state", "first_last", "first_last_state", "last", "last_state"]
 
+def key_index(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """How many members each lookup key, and each key within a state, leads to, and one of them.
 
-def key_index(members: DataFrame) -> DataFrame:
-    """(key, candidates): members by each of their lookup keys; members are (id, name, state, ...)."""
-    rows = members.select("id", F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("state"), F.explode(lookup_keys("name", state="state")).alias("key"))
-    return rows.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("id", "state"))).alias("candidates"))
+    All that a unique pick needs, so that a key of many members costs one row.  Members are (id, name, state, ...).
+    """
+    rows = members.select("id", F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("_state"), F.explode(lookup_keys("name", state="state")).alias("key")).distinct()
+    count = lambda by, n, one: rows.groupBy(*by).agg(F.count("*").alias(n), F.min("id").alias(one))
+    return count(["key"], "_n", "_one"), count(["key", "_state"], "_n_in", "_one_in")
 
 
-def unique_pick(candidates: Column, state: Column) -> Column:
+def unique_pick(state: Column) -> Column:
     """The id of the only candidate in the state, or if none is in it the only one at all; null if it isn't unique."""
-    inside = F.filter(candidates, lambda c: c["state"] == state)
-    return F.when((state != "") & (F.size(inside) > 0), F.when(F.size(inside) == 1, inside[0]["id"])).otherwise(F.when(F.size(candidates) == 1, candidates[0]["id"]))
+    inside = (state != "") & F.col("_n_in").isNotNull()
+    return F.when(inside, F.when(F.col("_n_in") == 1, F.col("_one_in"))).otherwise(F.when(F.col("_n") == 1, F.col("_one")))
 
 
 def resolve(rows: DataFrame, members: DataFrame, row_id: str = "row_id", name: str = "name", state: str | None = "state", first: str | None = None, last: str | None = None, bioguide: str | None = None) -> DataFrame:
@@ -27,22 +29,23 @@ def resolve(rows: DataFrame, members: DataFrame, row_id: str = "row_id", name: s
 
     With a bioguide id that lookup alone decides, even if it finds nothing.  Otherwise the first key, in order of
     how telling it is, with a unique candidate wins; then, within the state, names of which one begins the other.
-    The index side is small against the rows and is joined by key, so nothing is compared pairwise but what is
-    left unresolved with the registry.
+    All joins are by key; what is left unresolved meets the members whose names begin with the same letter.
     """
     st = F.upper(F.trim(F.coalesce(F.col(state), F.lit("")))) if state else F.lit("")
     bio = F.upper(F.trim(F.coalesce(F.col(bioguide), F.lit("")))) if bioguide else F.lit("")
     base = rows.select(row_id, normalize_name(name).alias("_norm"), st.alias("_state"), bio.alias("_bio"), lookup_keys(name, first, last, state).alias("_keys"))
-    tried = base.where("_bio = ''").select(row_id, "_state", F.posexplode("_keys").alias("_pos", "key")).join(key_index(members), "key")
-    picked = tried.withColumn("member_id", unique_pick(F.col("candidates"), F.col("_state"))).where("member_id is not null")
+    every, inside = key_index(members)
+    tried = base.where("_bio = ''").select(row_id, "_state", F.posexplode("_keys").alias("_pos", "key")).join(every, "key").join(inside, ["key", "_state"], "left")
+    picked = tried.withColumn("member_id", unique_pick(F.col("_state"))).where("member_id is not null")
     by_key = picked.groupBy(row_id).agg(F.min_by(F.struct("member_id", F.col("key").alias("matched_key")), "_pos").alias("_m")).select(row_id, "_m.*", F.lit("key").alias("matched_kind"))
     rest = base.where((F.col("_bio") == "") & (F.col("_norm") != "")).join(by_key, row_id, "left_anti")
     reg = members.select(F.col("id").alias("member_id"), F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("m_state"), normalize_name("name").alias("m_norm"))
     compact = lambda c: F.replace(F.col(c), F.lit(" "), F.lit(""))
     near = (F.col("_state") == "") | (F.col("m_state") == F.col("_state"))
+    near &= F.substring("m_norm", 1, 1) == F.substring("_norm", 1, 1)  # follows from what comes next, and can be joined on
     near &= F.col("m_norm").startswith(F.col("_norm")) | F.col("_norm").startswith(F.col("m_norm")) | (compact("m_norm") == compact("_norm"))
-    fuzzy = (rest.join(F.broadcast(reg), near).groupBy(row_id).agg(F.collect_set("member_id").alias("_ids")).where(F.size("_ids") == 1)
-             .select(row_id, F.col("_ids")[0].alias("member_id"), F.lit(None).cast("string").alias("matched_key"), F.lit("prefix").alias("matched_kind")))
+    fuzzy = (rest.join(reg, near).groupBy(row_id).agg(F.min("member_id").alias("member_id"), F.max("member_id").alias("_last")).where("member_id = _last")
+             .select(row_id, "member_id", F.lit(None).cast("string").alias("matched_key"), F.lit("prefix").alias("matched_kind")))
     found = by_key.unionByName(fuzzy)
     if bioguide:
         order = Window.partitionBy("_b").orderBy(F.desc("id"))

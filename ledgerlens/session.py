@@ -1,12 +1,13 @@
-"""Session factory, and shipping this package to executors."""
+"""Session factory, shipping this package to executors, and tables in the folder that all executors share."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -31,3 +32,19 @@ def ship(spark: SparkSession) -> None:
                     z.write(os.path.join(d, f), os.path.relpath(os.path.join(d, f), os.path.dirname(here)))
     spark.sparkContext.addPyFile(path)  # copied to the driver's file server and fetched by every executor
     _shipped.add(app)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder of ``spark.checkpoint.dir``; where that is unset, as in tests, a temporary one is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="ledgerlens-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written there and read back, so that its lineage ends and no executor's loss matters."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
