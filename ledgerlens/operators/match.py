@@ -39,3 +39,9 @@ def select_matches(candidates: DataFrame, query: str, name: str, key: str, amoun
     scored = candidates.withColumn("score", score(query, name)).where(F.col("score") >= least)
     order = (F.desc("score"), F.desc(F.coalesce(amount, F.lit(0.0))), F.asc(name))
     return pick_per_key(pick_per_key(scored, [key, recipient], *order), [key], *order, n=max(1, limit))
+
+
+def candidates(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
+    """Distinct pairs of names that share a telling word or are equal without legal forms; all others score 0."""
+    keys = lambda x: F.explode(F.array_distinct(F.concat(company_tokens(x), F.array(F.concat(F.lit("="), normalize_name(F.coalesce(strip_corporate(x), F.col(x))))))))
+    return left.select(a, keys(a).alias("_w")).join(right.select(b, keys(b).alias("_w")), "_w").select(a, b).distinct()

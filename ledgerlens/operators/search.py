@@ -47,14 +47,11 @@ def parse(query: str) -> tuple[list[list[list[str]]], list[list[str]]]:
 
 def occurrences(toks: Column, phrase: list[str]) -> Column:
     """Positions at which the phrase begins."""
-    at = F.sequence(F.lit(0), F.greatest(F.size(toks) - 1, F.lit(0)))
-
-    def here(i: Column) -> Column:
-        ok = F.get(toks, i) == phrase[0]
-        for k, t in enumerate(phrase[1:], 1):
-            ok &= F.coalesce(F.get(toks, i + k) == t, F.lit(False))
-        return F.coalesce(ok, F.lit(False))
-    return F.filter(at, here)
+    same = F.transform(toks, lambda t: t == phrase[0])
+    for k, word in enumerate(phrase[1:], 1):
+        rest = F.slice(toks, F.lit(k + 1), F.greatest(F.size(toks), F.lit(0)))
+        same = F.zip_with(same, F.transform(rest, lambda t, w=word: t == w), lambda x, y: F.coalesce(x & y, F.lit(False)))
+    return F.filter(F.transform(same, lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
 
 
 def cover_density(positions: list[Column]) -> Column:
@@ -74,12 +71,14 @@ def cover_density(positions: list[Column]) -> Column:
     return F.aggregate(marks, start, step, lambda s: s["sum"])
 
 
-def rank(text: Column | str, query: str) -> Column:
-    """Null where the text doesn't match the query, else the sum of its alternatives' cover densities."""
+def rank(toks: Column, query: str) -> Column:
+    """Null where a text of these tokens doesn't match the query, else the sum of its alternatives' cover densities.
+
+    The tokens should be a column already, lest they be made anew for each word of the query.
+    """
     groups, excluded = parse(query)
     if not groups:
         return F.lit(None).cast("double")
-    toks = tokens(text)
     score, any_ = F.lit(0.0), F.lit(False)
     for g in groups:
         found = [occurrences(toks, p) for p in g]
@@ -103,7 +102,7 @@ def scoped(df: DataFrame, **scope) -> DataFrame:
 
 def lexical(chunks: DataFrame, query: str, limit: int, key: str = "chunk_id", text: str = "content", doc_rank: Column | None = None, **scope) -> DataFrame:
     """(key, lexical_score, semantic_score, combined_score): the best matches, ties by key."""
-    scored = scoped(chunks, **scope).withColumn("_r", rank(text, query))
+    scored = scoped(chunks, **scope).withColumn("_toks", tokens(text)).withColumn("_r", rank(F.col("_toks"), query))
     both = F.coalesce("_r", F.lit(0.0)) + (F.coalesce(doc_rank, F.lit(0.0)) if doc_rank is not None else F.lit(0.0))
     hit = F.col("_r").isNotNull() | (doc_rank.isNotNull() if doc_rank is not None else F.lit(False))
     out = scored.where(hit).select(key, both.alias("lexical_score"), F.lit(0.0).alias("semantic_score"), both.alias("combined_score"))
@@ -119,8 +118,8 @@ def hybrid(chunks: DataFrame, query: str, vector: list[float] | None, limit: int
     if not vector:
         return lexical(chunks, query, limit, key, text, **scope)
     q = F.array(*(F.lit(float(x)) for x in vector))
-    lex = F.coalesce(rank(text, query), F.lit(0.0))
-    cand = scoped(chunks, **scope).select(key, lex.alias("lexical_score"), F.round(cosine(F.col(embedding), q), 6).alias("_s")).where((F.col("lexical_score") > 0) | F.col("_s").isNotNull())
+    lex = F.coalesce(rank(F.col("_toks"), query), F.lit(0.0))
+    cand = scoped(chunks, **scope).withColumn("_toks", tokens(text)).select(key, lex.alias("lexical_score"), F.round(cosine(F.col(embedding), q), 6).alias("_s")).where((F.col("lexical_score") > 0) | F.col("_s").isNotNull())
     s = F.col("_s") if nulls_first else F.coalesce("_s", F.lit(0.0))
     cand = cand.withColumn("combined_score", F.round(LEXICAL * F.col("lexical_score") + SEMANTIC * s, 6))
     top = cand.orderBy(F.desc_nulls_first("combined_score"), key).limit(max(1, limit))

@@ -1,4 +1,4 @@
 """Queries by operator, each beside its SQL."""
 
-from . import relational, scalars  # noqa: F401
+from . import corpus, relational, scalars  # noqa: F401
 from .base import QUERIES, SQL  # noqa: F401

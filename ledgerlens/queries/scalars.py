@@ -88,7 +88,7 @@ def q25_token_estimate(t: Tables) -> DataFrame:
 @query(rf"""WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_WS}'), lambda x: x <> '') AS ws FROM documents WHERE text IS NOT NULL),
 m AS (SELECT *, length(regexp_replace(text, '[^\x20-\x7e\t\n\r\x0b\x0c]', '', 'g')) / length(text) AS printable, list_sum(list_transform(ws, lambda x: length(x))) / len(ws) AS mean,
 list_unique(list_filter(list_transform(ws, lambda x: trim(lower(x), '!"#$%&''()*+,-./:;<=>?@[\]^_`{{|}}~')), lambda x: x IN ('the', 'and', 'of', 'to', 'in', 'a', 'is', 'that', 'for', 'it'))) AS common FROM w)
-SELECT doc_id, CASE WHEN len(ws) = 0 THEN 0 ELSE round(0.4::DOUBLE * printable + 0.3::DOUBLE * (CASE WHEN mean < 2 THEN mean / 2 WHEN mean > 12 THEN greatest(0.3::DOUBLE, 1 - (mean - 12) / 20) ELSE 1 END) + 0.3::DOUBLE * least(1::DOUBLE, common / 3), 3) END::DOUBLE AS confidence FROM m""")
+SELECT doc_id, CASE WHEN len(ws) = 0 THEN 0 ELSE round(round_even(0.4::DOUBLE * printable + 0.3::DOUBLE * (CASE WHEN mean < 2 THEN mean / 2 WHEN mean > 12 THEN greatest(0.3::DOUBLE, 1 - (mean - 12) / 20) ELSE 1 END) + 0.3::DOUBLE * least(1::DOUBLE, common / 3), 4), 3) END::DOUBLE AS confidence FROM m""")
 def q26_text_confidence(t: Tables) -> DataFrame:
     return t.documents.where("text is not null").select("doc_id", F.round(text_confidence("text"), 3).alias("confidence"))
 
