@@ -99,7 +99,7 @@ def small(keys: DataFrame, row_bytes: int = 64, most: int = MAX_BROADCAST_BYTES
     return F.broadcast(keys) if keys.count() * row_bytes <= most else keys
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Split Arrow batches so that each holds about ``most`` bytes of text (one longer text stays whole)."""
     for b in batches:
         if not b.num_rows:

@@ -60,7 +60,7 @@ def _count(order: int):
             code, back = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
             held[:] = [(code, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64))]
 
-        for b in slices(batches, "text"):
+        for b in slices(batches, most=4 << 20):
             held.append(np.unique(ngrams(symbols(b.column(0), order)[0], order), return_counts=True))
             if len(held) > 8:
                 merge()
@@ -200,7 +200,7 @@ class Automaton:
 def _read(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = shared.value
-        for b in slices(batches):
+        for b in slices(batches, most=4 << 20):
             s, begin, end = symbols(b.column(1), a.order)
             got = a.read(s, begin, end)
             null = b.column(1).is_null().to_numpy(zero_copy_only=False)
@@ -210,7 +210,7 @@ def _read(shared):
 
 def _bag(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, most=4 << 20):
             s, begin, end = symbols(b.column(1), order)
             row = np.repeat(np.arange(b.num_rows), end - begin)
             code = ngrams(s, order)
