@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.relational import pick_per_key
@@ -18,7 +19,7 @@ LATE = "14 days"
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
     """The table's files as a stream, event time as a timestamp; the table may be one file or a folder."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")  # as a pattern, for which Spark takes files too.withColumn("ts", F.col("ts").cast("timestamp"))
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]").withColumn("ts", F.col("ts").cast("timestamp"))  # a pattern, so that Spark takes a file too
 
 
 def drain(stream: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:
@@ -32,7 +33,7 @@ def drain(stream: DataFrame, keys: list[str], mode: str = "update") -> DataFrame
     def write(df: DataFrame, batch: int) -> None:
         df.withColumn("_batch", F.lit(batch)).write.mode("overwrite").parquet(f"{out}/batch={batch}")
     stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    schema = stream.schema.add("_batch", "int")
+    schema = stream.schema.add("_batch", IntegerType())
     return pick_per_key(spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(out), keys, F.desc("_batch")).drop("_batch")
 
 
