@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import lookup_keys, normalize_name
+from ..functions.text import _keys_of, normalize_name
+
+
+def with_keys(df: DataFrame, name: str, state: Column, first: str | None = None, last: str | None = None) -> DataFrame:
+    """``df`` with _norm and _keys, its lookup keys.
+
+    Names are normalised once a row: a generator stands between, which no rule of the optimizer copies.
+    """
+    tail = normalize_name(last) if last else F.lit("")
+    other = F.when(tail == "", "").otherwise(F.trim(F.concat_ws(" ", normalize_name(first), tail))) if first else tail
+    df = df.select("*", state.alias("_state"), F.explode(F.array(F.struct(normalize_name(name).alias("n"), other.alias("o")))).alias("_nm"))
+    keys = F.concat(_keys_of(F.col("_nm.n"), F.col("_state")), _keys_of(F.col("_nm.o"), F.col("_state"))) if last else _keys_of(F.col("_nm.n"), F.col("_state"))
+    return df.select("*", F.col("_nm.n").alias("_norm"), F.array_distinct(F.array_compact(keys)).alias("_keys")).drop("_nm")
 
 
 def key_index(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -13,7 +25,7 @@ def key_index(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     All that a unique pick needs, so that a key of many members costs one row.  Members are (id, name, state, ...).
     """
-    rows = members.select("id", F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("_state"), F.explode(lookup_keys("name", state="state")).alias("key")).distinct()
+    rows = with_keys(members.select("id", "name", "state"), "name", F.upper(F.trim(F.coalesce("state", F.lit(""))))).select("id", "_state", F.explode("_keys").alias("key")).distinct()
     count = lambda by, n, one: rows.groupBy(*by).agg(F.count("*").alias(n), F.min("id").alias(one))
     return count(["key"], "_n", "_one"), count(["key", "_state"], "_n_in", "_one_in")
 
@@ -24,27 +36,36 @@ def unique_pick(state: Column) -> Column:
     return F.when(inside, F.when(F.col("_n_in") == 1, F.col("_one_in"))).otherwise(F.when(F.col("_n") == 1, F.col("_one")))
 
 
+def _shapes(norm: str, beginnings: str, whole: str) -> Column:
+    """A name's beginnings, itself, and itself without spaces, marked by what they are to meet."""
+    starts = F.transform(F.sequence(F.lit(1), F.length(norm)), lambda n: F.concat(F.lit(beginnings), F.substring(F.col(norm), F.lit(1), n)))
+    return F.concat(starts, F.array(F.concat(F.lit(whole), F.col(norm)), F.concat(F.lit("run:"), F.replace(F.col(norm), F.lit(" "), F.lit("")))))
+
+
+def _shape_index(members: DataFrame) -> DataFrame:
+    """(_shape, _st, _lo, _hi): the smallest and largest member that a shape leads to, in a state and (*) anywhere."""
+    m = members.select("id", F.explode(F.array(normalize_name("name"))).alias("_n"), F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("_s")).where("_n <> ''")
+    rows = m.select("id", F.explode(F.array_distinct(F.array(F.lit("*"), F.when(F.col("_s") == "", "*").otherwise(F.col("_s"))))).alias("_st"), "_n")
+    return rows.select("id", "_st", F.explode(_shapes("_n", "is:", "of:")).alias("_shape")).groupBy("_shape", "_st").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"))
+
+
 def resolve(rows: DataFrame, members: DataFrame, row_id: str = "row_id", name: str = "name", state: str | None = "state", first: str | None = None, last: str | None = None, bioguide: str | None = None) -> DataFrame:
     """(row_id, member_id, matched_key, matched_kind) for every row; nulls where nothing matches.
 
     With a bioguide id that lookup alone decides, even if it finds nothing.  Otherwise the first key, in order of
     how telling it is, with a unique candidate wins; then, within the state, names of which one begins the other.
-    All joins are by key; what is left unresolved meets the members whose names begin with the same letter.
+    All joins are by key: for what is left unresolved, names meet by their beginnings.
     """
     st = F.upper(F.trim(F.coalesce(F.col(state), F.lit("")))) if state else F.lit("")
     bio = F.upper(F.trim(F.coalesce(F.col(bioguide), F.lit("")))) if bioguide else F.lit("")
-    base = rows.select(row_id, normalize_name(name).alias("_norm"), st.alias("_state"), bio.alias("_bio"), lookup_keys(name, first, last, state).alias("_keys"))
+    base = with_keys(rows.withColumn("_bio", bio), name, st, first, last).select(row_id, "_norm", "_state", "_bio", "_keys")
     every, inside = key_index(members)
     tried = base.where("_bio = ''").select(row_id, "_state", F.posexplode("_keys").alias("_pos", "key")).join(every, "key").join(inside, ["key", "_state"], "left")
     picked = tried.withColumn("member_id", unique_pick(F.col("_state"))).where("member_id is not null")
     by_key = picked.groupBy(row_id).agg(F.min_by(F.struct("member_id", F.col("key").alias("matched_key")), "_pos").alias("_m")).select(row_id, "_m.*", F.lit("key").alias("matched_kind"))
     rest = base.where((F.col("_bio") == "") & (F.col("_norm") != "")).join(by_key, row_id, "left_anti")
-    reg = members.select(F.col("id").alias("member_id"), F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("m_state"), normalize_name("name").alias("m_norm"))
-    compact = lambda c: F.replace(F.col(c), F.lit(" "), F.lit(""))
-    near = (F.col("_state") == "") | (F.col("m_state") == F.col("_state"))
-    near &= F.substring("m_norm", 1, 1) == F.substring("_norm", 1, 1)  # follows from what comes next, and can be joined on
-    near &= F.col("m_norm").startswith(F.col("_norm")) | F.col("_norm").startswith(F.col("m_norm")) | (compact("m_norm") == compact("_norm"))
-    fuzzy = (rest.join(reg, near).groupBy(row_id).agg(F.min("member_id").alias("member_id"), F.max("member_id").alias("_last")).where("member_id = _last")
+    keyed = rest.select(row_id, F.when(F.col("_state") == "", "*").otherwise(F.col("_state")).alias("_st"), F.explode(_shapes("_norm", "of:", "is:")).alias("_shape"))
+    fuzzy = (keyed.join(_shape_index(members), ["_shape", "_st"]).groupBy(row_id).agg(F.min("_lo").alias("member_id"), F.max("_hi").alias("_last")).where("member_id = _last")
              .select(row_id, "member_id", F.lit(None).cast("string").alias("matched_key"), F.lit("prefix").alias("matched_kind")))
     found = by_key.unionByName(fuzzy)
     if bioguide:

@@ -71,25 +71,28 @@ def cover_density(positions: list[Column]) -> Column:
     return F.aggregate(marks, start, step, lambda s: s["sum"])
 
 
-def rank(toks: Column, query: str) -> Column:
-    """Null where a text of these tokens doesn't match the query, else the sum of its alternatives' cover densities.
+def ranked(df: DataFrame, query: str, text: str) -> DataFrame:
+    """``df`` with _r: null where the text doesn't match the query, else the sum of its alternatives' cover densities.
 
-    The tokens should be a column already, lest they be made anew for each word of the query.
+    Tokens and positions are made once a row: a generator stands between, which no rule of the optimizer copies.
     """
     groups, excluded = parse(query)
     if not groups:
-        return F.lit(None).cast("double")
-    score, any_ = F.lit(0.0), F.lit(False)
+        return df.withColumn("_r", F.lit(None).cast("double"))
+    phrases = [p for g in groups for p in g] + excluded
+    df = df.select("*", F.explode(F.array(tokens(text))).alias("_toks"))
+    df = df.select("*", F.explode(F.array(F.struct(*(occurrences(F.col("_toks"), p).alias(f"p{i}") for i, p in enumerate(phrases))))).alias("_at")).drop("_toks")
+    score, any_, i = F.lit(0.0), F.lit(False), 0
     for g in groups:
-        found = [occurrences(toks, p) for p in g]
+        found, i = [F.col("_at")[f"p{k}"] for k in range(i, i + len(g))], i + len(g)
         ok = F.lit(True)
         for f in found:
             ok &= F.size(f) > 0
         any_ |= ok
         score = score + F.when(ok, cover_density(found)).otherwise(0.0)
-    for p in excluded:
-        any_ &= F.size(occurrences(toks, p)) == 0
-    return F.when(any_, score)
+    for k in range(len(excluded)):
+        any_ &= F.size(F.col("_at")[f"p{i + k}"]) == 0
+    return df.select("*", F.explode(F.array(F.when(any_, score))).alias("_r")).drop("_at")
 
 
 def scoped(df: DataFrame, **scope) -> DataFrame:
@@ -102,7 +105,7 @@ def scoped(df: DataFrame, **scope) -> DataFrame:
 
 def lexical(chunks: DataFrame, query: str, limit: int, key: str = "chunk_id", text: str = "content", doc_rank: Column | None = None, **scope) -> DataFrame:
     """(key, lexical_score, semantic_score, combined_score): the best matches, ties by key."""
-    scored = scoped(chunks, **scope).withColumn("_toks", tokens(text)).withColumn("_r", rank(F.col("_toks"), query))
+    scored = ranked(scoped(chunks, **scope), query, text)
     both = F.coalesce("_r", F.lit(0.0)) + (F.coalesce(doc_rank, F.lit(0.0)) if doc_rank is not None else F.lit(0.0))
     hit = F.col("_r").isNotNull() | (doc_rank.isNotNull() if doc_rank is not None else F.lit(False))
     out = scored.where(hit).select(key, both.alias("lexical_score"), F.lit(0.0).alias("semantic_score"), both.alias("combined_score"))
@@ -118,8 +121,8 @@ def hybrid(chunks: DataFrame, query: str, vector: list[float] | None, limit: int
     if not vector:
         return lexical(chunks, query, limit, key, text, **scope)
     q = F.array(*(F.lit(float(x)) for x in vector))
-    lex = F.coalesce(rank(F.col("_toks"), query), F.lit(0.0))
-    cand = scoped(chunks, **scope).withColumn("_toks", tokens(text)).select(key, lex.alias("lexical_score"), F.round(cosine(F.col(embedding), q), 6).alias("_s")).where((F.col("lexical_score") > 0) | F.col("_s").isNotNull())
+    lex = F.coalesce("_r", F.lit(0.0))
+    cand = ranked(scoped(chunks, **scope), query, text).select(key, lex.alias("lexical_score"), F.round(cosine(F.col(embedding), q), 6).alias("_s")).where((F.col("lexical_score") > 0) | F.col("_s").isNotNull())
     s = F.col("_s") if nulls_first else F.coalesce("_s", F.lit(0.0))
     cand = cand.withColumn("combined_score", F.round(LEXICAL * F.col("lexical_score") + SEMANTIC * s, 6))
     top = cand.orderBy(F.desc_nulls_first("combined_score"), key).limit(max(1, limit))
