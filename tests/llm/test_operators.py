@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import bpe, egojoin, graph, imatch, lm, minhash, packing, rangecoder, secrets, sharding, toxicity
 from ledgerlens.llm.textkernel import word_hash, words
@@ -220,6 +221,27 @@ def test_packing_holds_every_token_once_and_keeps_copies_together(spark):
     assert all(abs(order.index(i) - order.index(100 + i)) == 1 for i in range(8))
 
 
+@pytest.mark.parametrize("hot", [2, 32])
+def test_packing_neighbours_equal_brute_force_without_long_copies(spark, hot):
+    r = random.Random(11)
+    shared = [[f"s{p}x{i}" for i in range(10 + p % 15)] for p in range(30)]  # passages of 10 to 24 words, far below 39
+    docs = {}
+    for i in range(90):
+        own = lambda: [f"d{i}x{r.randrange(10**9)}" for _ in range(r.randrange(3, 30))]  # noqa: E731, B023
+        docs[i] = " ".join(sum((own() + p for p in r.sample(shared, r.randrange(0, 6))), []) + own())
+    docs |= {90: "two words", 91: "two words", 92: docs[3], 93: ""}
+    grams = {i: {tuple(w[j : j + 8]) for j in range(len(w) - 7)} or ({tuple(w)} if w else set()) for i, t in docs.items() for w in [t.split()]}
+    want = {}
+    for i, g in grams.items():
+        cos = {j: round(len(g & x) / (len(g) * len(x)) ** 0.5, 12) for j, x in grams.items() if j != i and g & x}
+        want[i] = sorted(cos.items(), key=lambda x: (-x[1], x[0]))[:8]
+    got: dict = {i: [] for i in docs}
+    for q in packing.neighbours(spark.createDataFrame(list(docs.items()), "id long, text string"), 1, hot=hot).orderBy("id", F.desc("cos"), "near").collect():
+        got[q["id"]].append((q["near"], q["cos"]))
+    assert {i: [x for x, _ in n] for i, n in got.items()} == {i: [x for x, _ in n] for i, n in want.items()}
+    assert all(got[i][j][1] == pytest.approx(c) for i in want for j, (_, c) in enumerate(want[i])) and sum(map(len, want.values())) > 500
+
+
 def test_pipeline_stages(spark, sf_dir, odd):
     import corpus_pipeline as c
     from ledgerlens.llm.common import stored
