@@ -191,3 +191,34 @@ def q52_ptr_parse(t: Tables) -> DataFrame:
     docs = docs.withColumns({"source_url": F.lit("https://example.org/ptr"), "filing_date": F.lit("2030-01-01"), "member_name": F.lit("A Member")})
     _, rows = ptr.parse(docs, F.to_date(F.lit("2031-01-01")))
     return rows.select("doc_id", "asset_description", "transaction_date", "transaction_type", "amount_min", "amount_max")
+
+
+_CUT = "(SELECT min(ts)::DATE + ((max(ts)::DATE - min(ts)::DATE + 1) // 2)::INT FROM events)"
+
+
+def _batches(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """All events in two batches: those before the middle of the days covered, and the rest."""
+    cut = t.events.agg(F.expr("date_add(min(ts), cast(floor((datediff(max(ts), min(ts)) + 1) / 2) as int)) AS cut")).first()["cut"]
+    early = F.coalesce(F.col("ts") < F.lit(cut), F.lit(False))
+    return t.events.where(early), t.events.where(~early)
+
+
+@query(f"""WITH b AS (SELECT user_id, event_id, value, coalesce(ts < {_CUT}, false) AS early FROM events), o AS (SELECT DISTINCT ON (user_id) user_id, value FROM b WHERE early ORDER BY user_id, event_id DESC),
+n AS (SELECT DISTINCT ON (user_id) user_id, value FROM b WHERE NOT early ORDER BY user_id, event_id DESC)
+SELECT user_id, CASE WHEN n.user_id IS NOT NULL THEN n.value ELSE o.value END AS value, CASE WHEN o.user_id IS NOT NULL THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END AS created_at, CASE WHEN n.user_id IS NOT NULL THEN DATE '2024-02-01' ELSE DATE '2024-01-01' END AS updated_at FROM o FULL JOIN n USING (user_id)""")
+def q54_upsert_all(t: Tables) -> DataFrame:
+    """q45 over every event, by user."""
+    day = lambda x: F.to_date(F.lit(x))
+    early, late = (b.select("user_id", F.col("event_id").alias("seq"), "value") for b in _batches(t))
+    empty = early.where("false").select("user_id", "value", day("2024-01-01").alias("created_at"), day("2024-01-01").alias("updated_at"))
+    return store.upsert(store.upsert(empty, early, ["user_id"], "seq", day("2024-01-01")), late, ["user_id"], "seq", day("2024-02-01"))
+
+
+@query(f"""WITH b AS (SELECT *, coalesce(ts < {_CUT}, false) AS early FROM events), o AS (SELECT user_id, arg_max(event_type, event_id) AS e, count(*) AS c FROM b WHERE early GROUP BY 1), n AS (SELECT user_id, count(*) AS c FROM b WHERE NOT early GROUP BY 1)
+SELECT user_id, CASE WHEN n.user_id IS NULL OR o.e IN ('purchase', 'click') THEN o.e ELSE 'pending_extraction' END AS status, o.c::VARCHAR AS old, n.c::VARCHAR AS new FROM o FULL JOIN n USING (user_id)""")
+def q55_upsert_conditional_all(t: Tables) -> DataFrame:
+    """q46 over every event."""
+    meta = lambda name: F.to_json(F.create_map(F.lit(name), F.count("*").cast("string"))).alias("metadata")
+    early, late = _batches(t)
+    got = store.sync_queue(early.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("status"), meta("old")), late.groupBy("user_id").agg(meta("new")), "user_id", held=("purchase", "click"))
+    return got.select("user_id", "status", F.get_json_object("metadata", "$.old").alias("old"), F.get_json_object("metadata", "$.new").alias("new"))
