@@ -148,3 +148,10 @@ SELECT s_suppkey, 'Malta;Korea;Isle' || s_suppkey % 5 || ';UK;Peru' AS countries
 def q53_offshore_multivalue(t: Tables) -> DataFrame:
     text = F.concat(F.lit(" Malta;malta |Korea, "), F.lit("Isle"), F.col("s_suppkey") % 5, F.lit("|;UK; Peru, uk"))
     return t.supplier.select("s_suppkey", F.array_join(split_multi(text), ";").alias("countries"))
+
+
+@query()
+def q56_html_to_text_all(t: Tables) -> DataFrame:
+    """q20 with all character references."""
+    from ..functions.text import html_to_text
+    return t.pages.select("page_id", html_to_text("html").alias("text"))

@@ -9,3 +9,19 @@ def test_upserts_read_every_event(spark, sf_dir):
     assert sum(int(r["old"] or 0) + int(r["new"] or 0) for r in got) == events.count()
     last = {r["user_id"]: r["value"] for r in events.orderBy("ts", "event_id").collect()}
     assert {r["user_id"] for r in own.QUERIES["q54_upsert_all"](spark, sf_dir).collect()} == set(last)
+
+
+def test_html_to_text_equals_unescape(spark, sf_dir):
+    import html
+    import re
+
+    import ledgerlens.queries as own
+    from ledgerlens.functions.text import html_to_text
+
+    def plain(x):
+        return re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", html.unescape(x.replace("&nbsp;", " ")))).strip()
+    pages = {r["page_id"]: plain(r["html"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    assert {r["page_id"]: r["text"] for r in own.QUERIES["q56_html_to_text_all"](spark, sf_dir).collect()} == pages
+    texts = ["<p>A &amp; B&#39;s&nbsp;&lt;b&gt;x&#x2014;&copy; &amp;amp; &hellip;</p>", "no", "&notareal; &#160;&", "<i>a</i>\n\tb"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", html_to_text("x").alias("t")).collect()
+    assert {r["i"]: r["t"] for r in rows} == {i: plain(x) for i, x in enumerate(texts)}
