@@ -222,3 +222,9 @@ def q55_upsert_conditional_all(t: Tables) -> DataFrame:
     early, late = _batches(t)
     got = store.sync_queue(early.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("status"), meta("old")), late.groupBy("user_id").agg(meta("new")), "user_id", held=("purchase", "click"))
     return got.select("user_id", "status", F.get_json_object("metadata", "$.old").alias("old"), F.get_json_object("metadata", "$.new").alias("new"))
+
+
+@query()
+def q57_chunk_all(t: Tables) -> DataFrame:
+    """q37 over every document, with or without paragraphs."""
+    return chunk_rows(t.documents, "doc_id", "text").select(F.col("document_id").alias("doc_id"), F.col("chunk_index").cast("long").alias("chunk_index"), "content")

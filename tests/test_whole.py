@@ -25,3 +25,35 @@ def test_html_to_text_equals_unescape(spark, sf_dir):
     texts = ["<p>A &amp; B&#39;s&nbsp;&lt;b&gt;x&#x2014;&copy; &amp;amp; &hellip;</p>", "no", "&notareal; &#160;&", "<i>a</i>\n\tb"]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", html_to_text("x").alias("t")).collect()
     assert {r["i"]: r["t"] for r in rows} == {i: plain(x) for i, x in enumerate(texts)}
+
+
+def test_chunks_of_paragraphs_equal_brute_force(spark, tmp_path):
+    import random
+    import re
+
+    import ledgerlens.queries as own
+
+    def chunks(text, size=3200, overlap=800):
+        done, now = [], ""
+        for p in (p.strip() for p in re.split(r"\n\s*\n", re.sub(r"\n{3,}", "\n\n", text.replace("\r\n", "\n")).strip())):
+            if not p:
+                continue
+            if len(longer := f"{now}\n\n{p}" if now else p) <= size:
+                now = longer
+                continue
+            done += [now] if now else []
+            now = p if len(p) <= size else ""
+            at = 0
+            while not now:
+                done.append(p[at : at + size].strip())
+                if at + size >= len(p):
+                    break
+                at += size - overlap
+        return [x for x in [*done, now] if x]
+    r = random.Random(4)
+    word = lambda n: " ".join(f"w{r.randrange(999)}" for _ in range(n))
+    docs = [(i, r.choice(["\n\n", "\r\n\r\n", "\n \n", "\n\n\n\n"]).join(word(r.choice([1, 30, 200, 600, 1700])) for _ in range(r.randrange(1, 9)))) for i in range(30)]
+    docs += [(30, ""), (31, "\n\n \n"), (32, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = own.QUERIES["q57_chunk_all"](spark, str(tmp_path)).collect()
+    assert sorted((q["doc_id"], q["chunk_index"], q["content"]) for q in got) == [(i, j, c) for i, t in docs if t for j, c in enumerate(chunks(t))]
