@@ -228,3 +228,25 @@ def q55_upsert_conditional_all(t: Tables) -> DataFrame:
 def q57_chunk_all(t: Tables) -> DataFrame:
     """q37 over every document, with or without paragraphs."""
     return chunk_rows(t.documents, "doc_id", "text").select(F.col("document_id").alias("doc_id"), F.col("chunk_index").cast("long").alias("chunk_index"), "content")
+
+
+def _registry(t: Tables) -> DataFrame:
+    return people(t).select(F.col("c_custkey").alias("id"), F.concat(F.lit("B"), F.col("c_custkey")).alias("bioguide_id"), F.concat_ws(" ", "first", "last").alias("name"), F.concat(F.lit("N"), F.col("c_nationkey")).alias("state"))
+
+
+@query()
+def q58_resolve_members_all(t: Tables) -> DataFrame:
+    """Every row of a resolution, whatever it was resolved by; some rows have a bioguide id, known or not."""
+    members, k = _registry(t), F.col("o_orderkey")
+    named = F.when(k % 3 == 0, F.concat(F.lit("Sen. "), F.upper("name"), F.lit(", Jr."))).otherwise(F.concat(F.lit("X. "), F.element_at(F.split("name", " "), -1)))
+    rows = t.orders.select("o_orderkey", "o_custkey").join(members, F.col("o_custkey") == F.col("id"))
+    rows = rows.select(k.alias("row_id"), named.alias("name"), F.when(k % 2 == 0, F.lower("state")).alias("state"), F.when(k % 5 == 0, F.lower("bioguide_id")).when(k % 7 == 0, "Z0").alias("bioguide"))
+    return resolve(rows, members, bioguide="bioguide")
+
+
+@query()
+def q59_prefix_fallback_all(t: Tables) -> DataFrame:
+    """Names that no key finds: cut short, written in one, or longer than the registry's; all with a state."""
+    members, k = _registry(t), F.col("id") % 3
+    name = F.when(k == 0, F.expr("left(name, length(name) - 1)")).when(k == 1, F.replace("name", F.lit(" "), F.lit(""))).otherwise(F.concat("name", F.lit("x")))
+    return resolve(members.select(F.col("id").alias("row_id"), name.alias("name"), "state"), members)

@@ -57,3 +57,39 @@ def test_chunks_of_paragraphs_equal_brute_force(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = own.QUERIES["q57_chunk_all"](spark, str(tmp_path)).collect()
     assert sorted((q["doc_id"], q["chunk_index"], q["content"]) for q in got) == [(i, j, c) for i, t in docs if t for j, c in enumerate(chunks(t))]
+
+
+def test_resolve_equals_brute_force(spark, sf_dir):
+    import ledgerlens.queries as own
+    from ledgerlens.operators.resolve import resolve
+
+    members = [(1, "B1", "jon smith", "CA"), (2, "B2", "mcdonald", "TX"), (3, "B3", "ann lee", "NY"), (4, "B4", "ann leeds", "NY"), (5, "B5", "ann leeds", "CA"), (6, "B6", "bo ray", None), (7, "B7", "zed quill", "NY")]
+    rows = [("jon smi", "ca", None), ("mc donald", "TX", None), ("mc donald", "NY", None), ("jon smithson", None, None), ("ann le", "NY", None), ("ann l", "CA", None), ("ann leeds", None, None), ("ann leedsx", "NY", None), ("bo ra", None, None),
+            ("bo ra", "CA", None), ("x quill", "NY", None), ("anything", None, "b3"), ("jon smith", "CA", "b9"), ("zedquill", None, None), ("", "CA", None), ("j", None, None)]
+
+    def keys(n, st):
+        p = n.split(" ")
+        own_ = [n] + ([f"{p[0]} {p[-1]}", p[-1]] if len(p) > 1 else [])
+        return [k for x in own_ if n for k in ([x, f"{x}|{st}"] if st else [x])]
+
+    def pick(found, st):
+        inside = [m for m in found if st and m[3] == st] or found
+        return inside[0][0] if len({m[0] for m in inside}) == 1 else None
+
+    def one(n, st, bio):
+        st = (st or "").upper()
+        if bio:
+            return next(((m[0], "bioguide") for m in members if m[1] == bio.upper()), (None, None))
+        for k in keys(n, st):
+            if got := pick([m for m in members if k in keys(m[2], m[3] or "")], st):
+                return got, "key"
+        fuzzy = [m for m in members if n and (not st or m[3] == st) and (m[2].replace(" ", "") == n.replace(" ", "") or m[2].startswith(n) or n.startswith(m[2]))]
+        got = pick(fuzzy, st) if fuzzy else None
+        return (got, "prefix") if got else (None, None)
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id int, name string, state string, bioguide string")
+    got = {r["row_id"]: (r["member_id"], r["matched_kind"]) for r in resolve(table, spark.createDataFrame(members, "id int, bioguide_id string, name string, state string"), bioguide="bioguide").collect()}
+    want = {i: one(*r) for i, r in enumerate(rows)}
+    assert got == want and {k for _, k in want.values()} == {"key", "prefix", "bioguide", None}
+    every = own.QUERIES["q58_resolve_members_all"](spark, sf_dir).collect()
+    assert len(every) == spark.read.parquet(f"{sf_dir}/orders.parquet").count() and {"key", "bioguide"} <= {r["matched_kind"] for r in every}
+    assert "prefix" in {r["matched_kind"] for r in own.QUERIES["q59_prefix_fallback_all"](spark, sf_dir).collect()}
