@@ -10,7 +10,7 @@ from ..functions.dates import fara_date, feed_date, iso_from_us, reconcile_dates
 from ..functions.hashing import sha1_key, sha256_key
 from ..functions.money import bracket, parse_range
 from ..functions.text import lookup_keys, normalize_name, split_multi, squeeze, strip_accents, text_confidence, token_estimate
-from ..operators.fara import repair_row
+from ..operators.fara import PRINCIPAL, repair_principals, repair_row
 from ..rules.crypto import classify
 from .base import Tables, query
 
@@ -155,3 +155,14 @@ def q56_html_to_text_all(t: Tables) -> DataFrame:
     """q20 with all character references."""
     from ..functions.text import html_to_text
     return t.pages.select("page_id", html_to_text("html").alias("text"))
+
+
+@query()
+def q60_fara_repair_all(t: Tables) -> DataFrame:
+    """Rows of all columns, sound or shifted to either side."""
+    n, k = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3
+    sound = ["ACME", "01/02/2020", "MALTA", n, "03/04/2019", "SMITH LLC", "1 Road", "", "Kyiv", "DC", "20001"]
+    left = ["ACME,01/02/2020\"", "MALTA", n, "03/04/2019", "SMITH LLC", "1 Road", "", "Kyiv", "DC", "20001", ""]
+    right = ["AC", "ME", "01/02/2020", "MALTA", n, "03/04/2019", "SMITH LLC", "1 Road", "", "Kyiv", "DC"]
+    lit = lambda x: F.lit(x) if isinstance(x, str) else x
+    return repair_principals(t.customer.select("c_custkey", *(F.when(k == 0, lit(a)).when(k == 1, lit(b)).otherwise(lit(c)).alias(name) for name, a, b, c in zip(PRINCIPAL, sound, left, right))))

@@ -93,3 +93,15 @@ def test_resolve_equals_brute_force(spark, sf_dir):
     every = own.QUERIES["q58_resolve_members_all"](spark, sf_dir).collect()
     assert len(every) == spark.read.parquet(f"{sf_dir}/orders.parquet").count() and {"key", "bioguide"} <= {r["matched_kind"] for r in every}
     assert "prefix" in {r["matched_kind"] for r in own.QUERIES["q59_prefix_fallback_all"](spark, sf_dir).collect()}
+
+
+def test_fara_rows_shifted_either_way(spark):
+    from ledgerlens.operators.fara import PRINCIPAL, repair_principals
+
+    rows = [('NGO "Free and Faithful",03/25/2024"', "UKRAINE", "7383", "03/20/2024", "SIC Group USA LLC", "street 7", "", "Kyiv", "", "", ""),
+            ('Saudi Arabia Railways (SAR") ', ' through HIll +Knowlton GMBH"', "10/12/2022", "SAUDI ARABIA", "3301", "11/10/1981", "Hill LLC", "", "New York", "NY", "10001"),
+            ("Sound 01/02/2020", "01/02/2020", "MALTA", "12", "01/02/2019", "A LLC", "1 Road", "", "Rome", "", "5"), ("Odd", None, "MALTA", None, None, "A LLC", None, None, None, None, None)]
+    want = [('NGO "Free and Faithful', "03/25/2024", "UKRAINE", "7383", "03/20/2024", "SIC Group USA LLC", "street 7", "", "Kyiv", "", ""),
+            ('Saudi Arabia Railways (SAR") through HIll +Knowlton GMBH', "10/12/2022", "SAUDI ARABIA", "3301", "11/10/1981", "Hill LLC", "", "New York", "NY", "10001", ""), rows[2], rows[3]]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], ", ".join(["i int", *(f"`{c}` string" for c in PRINCIPAL)]))
+    assert [tuple(r)[1:] for r in repair_principals(df).orderBy("i").collect()] == want
