@@ -2,7 +2,7 @@
 
 A text is read as source code or configuration: statements that give a name a value become name-literal pairs.
 Constants are propagated, so that ``base = "ab12"; password = base + "cd34"`` pairs ``password`` with "ab12cd34",
-wherever in the text ``base`` is set.  A pair scores by how sensitive its target name is and by how much the
+by the nearest ``base`` set before it (or else the first after it); ``+=`` and ``.=`` add to what a name has.  A pair scores by how sensitive its target name is and by how much the
 literal looks like a secret rather than a placeholder or prose.  Literals of a fixed format that tells what they
 are, and passwords within URLs, name themselves.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ MASK = "[SECRET]"
 _TARGET = re.compile(
     r"""(?<![\w.$-])(?P<q>["']?)(?P<name>[A-Za-z_$][\w.$-]{0,127})(?P=q)(?:\])?"""  # name, "name", ["name"]
     r"""(?:[ \t]{0,8}:[ \t]{0,8}[A-Za-z_][\w.\[\]]{0,63}(?=[ \t]{0,8}=[^=]))?"""  # a type
-    r"""[ \t]{0,64}(?P<op>=>|:=|\+=|=(?![=~>])|:(?![:=]))[ \t]{0,64}""")
+    r"""[ \t]{0,64}(?P<op>=>|:=|\+=|\.=|=(?![=~>])|:(?![:=]))[ \t]{0,64}""")
 _STRING = re.compile(r'''[rbuf]{0,2}(?:"""(?P<d3>(?:[^\\]|\\.)*?)"""|"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>(?:[^`\\]|\\.)*)`)''', re.S)
 _REF = re.compile(r"\$\{?([A-Za-z_][\w.]*)\}?|([A-Za-z_][\w.]*)(?![\w(\[])")
 _BARE = re.compile(r"""[^\s"'`;,<>(){}\[\]]+""")
@@ -105,21 +106,54 @@ def scan(text: str | None, min_score: float = MIN_SCORE) -> list[tuple[str, int,
     if not text:
         return []
     pairs: list[tuple[str, list[Part], bool]] = []
+    sets: dict[str, list[int]] = {}  # the pairs that set a name, in order
     i = 0
     while m := _TARGET.search(text, i):
         i = m.end()
         if v := _value(text, i):
-            pairs.append((m["name"], v[0], v[2]))
+            parts = v[0]
+            if m["op"] in ("+=", ".=") and m["name"] in sets:  # what the name had so far comes first
+                parts = [(False, m["name"], *m.span("name")), *parts]
+            sets.setdefault(m["name"], []).append(len(pairs))
+            pairs.append((m["name"], parts, v[2]))
             i = v[1]
-    # plain constants first, then those made of others, until nothing new is known: name -> value and its literals
-    known = {n: ("".join(p[1] for p in parts), parts) for n, parts, _ in pairs if all(p[0] for p in parts)}
-    left = [(n, parts) for n, parts, _ in pairs if n not in known]
-    while left:
-        solved = {n: parts for n, parts in left if all(p[0] or p[1] in known for p in parts)}
-        if not solved:
-            break
-        known |= {n: ("".join(p[1] if p[0] else known[p[1]][0] for p in parts), [q for p in parts for q in ([p] if p[0] else known[p[1]][1])]) for n, parts in solved.items()}
-        left = [x for x in left if x[0] not in known]
+    known: dict[int, bool] = {}  # whether all that a pair needs is set; those that it needs are seen to first
+
+    def source(name: str, at: int) -> int | None:
+        """The pair that sets ``name`` for pair ``at``: the nearest before it, or if there is none the first after it."""
+        if name not in sets:
+            return None
+        j = bisect_left(sets[name], at)
+        return sets[name][j - 1] if j else next((x for x in sets[name] if x != at), None)
+
+    def solved(start: int) -> bool:
+        todo, seen = [start], set()
+        while todo:
+            at = todo[-1]
+            needs = [source(p[1], at) for p in pairs[at][1] if not p[0]]
+            if at not in known and at not in seen:
+                seen.add(at)
+                todo += [x for x in needs if x is not None and x not in known and x not in seen]
+                if todo[-1] != at:
+                    continue
+            todo.pop()  # a name that nothing sets, or a circle, can't be known
+            known.setdefault(at, all(x is not None and known.get(x, False) for x in needs))
+        return known[start]
+
+    def literals_of(start: int) -> list[Part]:
+        """The literals in order; beyond 10,000 steps each pair counts once, as doublings have no end."""
+        out, seen, steps = [], set(), 0
+        todo = [(start, p) for p in reversed(pairs[start][1])]
+        while todo:
+            at, p = todo.pop()
+            steps += 1
+            if p[0]:
+                out.append(p)
+            elif (x := source(p[1], at)) not in seen or steps < 10_000:
+                seen.add(x)
+                todo += [(x, q) for q in reversed(pairs[x][1])]
+        return out
+
     found: dict[tuple[int, int], tuple[str, float, str]] = {}
 
     def add(name: str, a: int, b: int, score: float, literal: str) -> None:
@@ -129,17 +163,20 @@ def scan(text: str | None, min_score: float = MIN_SCORE) -> list[tuple[str, int,
     def rate(s: float, literal: str, quoted: bool) -> float:
         return round(s * (0.3 + 0.7 * t), 4) if (t := strength(literal, quoted)) else 0.0
 
-    for name, parts, quoted in pairs:
+    for at, (name, parts, quoted) in enumerate(pairs):
         if not (s := name_score(name)):
             continue
-        if len(parts) == 1 and not parts[0][0] and parts[0][1] not in known:
-            parts = [(True, text[parts[0][2] : parts[0][3]], *parts[0][2:])]  # a bare word that nothing sets is the literal
-        if all(p[0] or p[1] in known for p in parts):
-            literal = "".join(p[1] if p[0] else known[p[1]][0] for p in parts)
-            score = rate(s, literal, quoted or not all(p[0] for p in parts))
-            for p in parts:  # the constants that it is made of are secret where they are set
-                for _, own, a, b in [p] if p[0] else known[p[1]][1]:
-                    add(name, a, b, score, literal)
+        if solved(at):
+            literals = literals_of(at)
+            literal = "".join(p[1] for p in literals)
+        elif len(parts) == 1 and source(parts[0][1], at) is None:  # a bare word that nothing sets is the literal
+            literal = text[parts[0][2] : parts[0][3]]
+            literals = parts = [(True, literal, *parts[0][2:])]
+        else:
+            continue
+        score = rate(s, literal, quoted or not all(p[0] for p in parts))
+        for _, _, a, b in literals:  # the constants that it is made of are secret where they are set
+            add(name, a, b, score, literal)
     for m in _TAG.finditer(text):
         if s := name_score(m[1]):
             add(m[1], *m.span(2), rate(s, m[2], False), m[2])

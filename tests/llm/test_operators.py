@@ -200,6 +200,23 @@ def test_secrets_are_found(text, name):
     assert got and all(x[0] == name for x in got) and secrets.MASK in secrets.redact(text) and SECRET not in secrets.redact(text)
 
 
+@pytest.mark.parametrize("text, gone, stays", [
+    ('base = "q9X2vL"; password = base + "p7TzR4"; base = "other1"', ["q9X2vL", "p7TzR4"], ["other1"]),
+    ('password = "ab12"; password += "cd34"', ["ab12", "cd34"], []),
+    ('$password = "ab12";\n$password .= "cd34";', ["ab12", "cd34"], []),
+    ('password = base + "p7TzR4"; base = "q9X2vL"', ["q9X2vL", "p7TzR4"], []),
+    ("\n".join(f'base = "n{i}Q9X2v"\n{"password" if i % 50 == 7 else "colour"} = base + "p7TzR{i}"' for i in range(2000)), ["n7Q9X2v", "p7TzR57", "n1957Q9X2v"], ["n8Q9X2v", "p7TzR58", "n1956Q9X2v"]),
+    ("\n".join(['token = "k3"'] + [f'token += "Zq{i}"' for i in range(30)]), ["k3", "Zq0", "Zq29"], [])])
+def test_secrets_of_names_set_again(text, gone, stays):
+    got = secrets.redact(text)
+    assert not any(f'"{x}"' in got for x in gone) and all(f'"{x}"' in got for x in stays)
+
+
+def test_secrets_of_circles_end():
+    assert secrets.scan("password = a + b; a = b; b = a; a += a") == []
+    assert SECRET not in secrets.redact(f'password = "{SECRET}"\n' + "password += password\n" * 60)
+
+
 @pytest.mark.parametrize("text", ["", None, "password = os.environ['X']", 'password = "changeme"', "token: the value", "key = 3", f'colour = "{SECRET}"', "pass: yes"])
 def test_no_secret(text):
     assert not secrets.scan(text)
