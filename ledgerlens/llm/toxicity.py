@@ -3,6 +3,8 @@
 Fitting: at most ``max_labelled`` labelled rows (those of the smallest id hashes) give the examples.  The
 vocabulary is the terms whose presence tells the label: an odds ratio of at least ``min_odds`` in either direction,
 a likelihood-ratio statistic of at least ``min_g2`` and presence in at least ``min_support`` of the rarer class.  Document frequencies are those of all documents.
+Terms outside it count for nothing and vectors are of unit length over what is left, so cosines aren't those of the
+documents' whole TF-IDF vectors, and a text without a term of the vocabulary has no neighbours (README has figures).
 Scoring: each document's TF-IDF vector over the vocabulary finds its ``k`` nearest examples by exact cosine in a
 block-max inverted index, whose blocks are visited in order of their upper bounds until none can still matter.
 The neighbours vote with their cosines; isotonic regression on leave-one-out votes turns votes into probabilities.

@@ -142,6 +142,16 @@ def test_toxicity_held_out(spark, sf_dir):
     assert toxicity.fit(docs, labels.where("toxic = 0")) is None
 
 
+def test_toxicity_held_out_by_class(spark, sf_dir):
+    big = sf_dir.replace("sf0.001", "sf0.01")
+    docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    model = toxicity.fit(docs, labels.where("pmod(xxhash64(doc_id), 2) = 0"))
+    rest = toxicity.score(docs, model).withColumnRenamed("toxic", "decided").join(labels.where("pmod(xxhash64(doc_id), 2) = 1"), "doc_id").toPandas()
+    toxic = rest[rest["toxic"] == 1]["decided"].mean()
+    clean = rest[rest["toxic"] == 0]["decided"].mean()
+    assert toxic >= 0.7 and clean <= 0.05, (toxic, clean)
+
+
 def test_toxicity_neighbours_are_exact():
     r = np.random.default_rng(0)
     n, terms = 300, 40
