@@ -9,7 +9,6 @@ only entries near it are computed anew, up to where the old ones apply again.
 from __future__ import annotations
 
 import base64
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -20,7 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ids, list_array, slices
+from .common import ids, slices
+from .pieces import PieceTable
 
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -194,66 +194,25 @@ class Text:
         return list(chain.from_iterable(self.encoder.walk(p[2]) for p in self.pieces))
 
 
-class Cached:
-    """Encodes whole texts; what lies between spaces is looked up, as most of it recurs.
-
-    A space before a character that isn't white space always begins a piece, so texts without other runs of
-    white space at a space can be cut there; all others are split by the pattern.
-    """
-
-    def __init__(self, encoder: Encoder, pattern: str = PATTERN, most: int = CACHED):
-        self.encoder, self.split, self.most = encoder, regex.compile(pattern).findall, most
-        self.chunks: dict[str, array] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.rough = regex.compile(r" (?:\s|$)").search
-
-    def _piece(self, p: str) -> list[int]:
-        got = self.pieces.get(p)
-        if got is None:
-            if len(self.pieces) >= self.most:
-                self.pieces.clear()
-            got = self.pieces[p] = self.encoder.encode_piece(p.encode())
-        return got
-
-    def _chunk(self, c: str) -> list[int]:
-        got = self.chunks.get(c)
-        if got is None:
-            if len(self.chunks) >= self.most:
-                self.chunks.clear()
-            got = self.chunks[c] = list(chain.from_iterable(map(self._piece, self.split(" " + c))))
-        return got
-
-    def encode(self, text: str) -> array:
-        if "  " in text or self.rough(text):
-            return array("i", chain.from_iterable(map(self._piece, self.split(text))))
-        first, *more = text.split(" ")
-        get, slow = self.chunks.get, self._chunk
-        out = array("i", chain.from_iterable(map(self._piece, self.split(first))))
-        out.extend(chain.from_iterable([get(c) or slow(c) for c in more]))
-        return out
-
-
-_encoders: dict[str, Cached] = {}
+_tables: dict[str, PieceTable] = {}
 
 
-def cached(path: str, shared=None) -> Cached:
-    """This process's encoder for a vocabulary; from a broadcast one if given."""
-    if path not in _encoders:
-        _encoders[path] = Cached(shared.value if shared is not None else Encoder(read_ranks(path)))
-    return _encoders[path]
+def piece_table(path: str, shared=None) -> PieceTable:
+    """This process's table of encoded pieces for a vocabulary; from a broadcast encoder if given."""
+    if path not in _tables:
+        encoder = shared.value if shared is not None else Encoder(read_ranks(path))
+        _tables[path] = PieceTable(encoder.encode_piece, encoder.bytes)
+    return _tables[path]
 
 
 def _encode(path: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = cached(path, shared)
+        table = piece_table(path, shared)
         for b in slices(batches):
-            got = [None if t is None else enc.encode(t) for t in b.column(1).to_pylist()]
-            n = np.array([len(x) if x is not None else 0 for x in got], np.int64)
-            flat = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x, np.int32) for x in got if x is not None and len(x))]).astype(np.int32)
-            null = b.column(1).is_null()
-            tokens = pa.array([None if x is None else x for x in got], pa.list_(pa.int32())) if null.true_count else list_array(flat, n, pa.int32())
-            raw, back = b.column(1).cast(pa.binary()).to_pylist(), enc.encoder.decode
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, mask=null.to_numpy(zero_copy_only=False)), tokens, pa.array([None if x is None else back(x) == r for x, r in zip(got, raw)], pa.bool_())], ["doc_id", "n_tokens", "tokens", "exact"])
+            flat, n, exact = table.encode(b.column(1))
+            null = b.column(1).is_null().to_numpy(zero_copy_only=False)
+            tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(flat, pa.int32()), mask=pa.array(null))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, mask=null), tokens, pa.array(exact, mask=null)], ["doc_id", "n_tokens", "tokens", "exact"])
     return run
 
 

@@ -22,7 +22,7 @@ _ALONE[0xE3:0xEE] = True
 _pow: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
     if len(_pow[0]) < n:
         m = 1 << (n - 1).bit_length()
         for k, base in enumerate((BASE, _INV)):
@@ -78,7 +78,7 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         first[after] |= w[after]
         last[np.minimum(alone + 2, n - 1)] = True
     s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _powers(n)
+    up, down = powers(n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     return mix((total[e] - total[s]) * down[s]), np.searchsorted(s, off)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, egojoin, graph, imatch, lm, minhash, packing, rangecoder, secrets, sharding, toxicity
+from ledgerlens.llm import bpe, egojoin, graph, imatch, lm, minhash, packing, pieces, rangecoder, secrets, sharding, toxicity
 from ledgerlens.llm.textkernel import word_hash, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -79,7 +79,7 @@ def test_bpe_equals_a_public_encoder_and_edits(spark):
     enc = bpe.Encoder(ranks)
     texts = ["Hello  world", " don't   stop\n\n now ", "日本語 naïve 12345", "aaaaaaaaaaaaaaaaaaaa" * 9, "x" * 500 + " é", prose(3, 300)]
     for t in texts:
-        assert list(bpe.Cached(enc).encode(t)) == ref.encode_ordinary(t)
+        assert pieces.PieceTable(enc.encode_piece, enc.bytes).encode(pa.array([t]))[0].tolist() == ref.encode_ordinary(t)
     r, live = random.Random(5), bpe.Text(enc, texts[1])
     for _ in range(60):
         a = r.randrange(len(live.text) + 1)
@@ -90,6 +90,39 @@ def test_bpe_equals_a_public_encoder_and_edits(spark):
     assert {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(docs)).collect()} == dict(enumerate(texts))
 
 
+def test_pieces_equal_the_pattern():
+    import tiktoken
+
+    enc = bpe.Encoder(bpe.read_ranks(bpe.VOCABULARY))
+    ref = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=enc.ranks, special_tokens={})
+    r = random.Random(3)
+    texts = ["it's he'll 'tis ''s 's's don'ts 'S", " a  \n\n b\t\tc  ", "", None, "\x1c\x1d a\x85b c\u3000d", "12 34½ ²x _a_ !'s !s'", "\r\n x", "'", "'l", "'re", "a 's b", "\U0001f600 a'd", "日本語テキスト12"]
+    texts += ["".join(r.choice(" \n\t'sdmtlrvex1é!日") for _ in range(r.randrange(12))) for _ in range(3000)]
+    table = pieces.PieceTable(enc.encode_piece, enc.bytes)
+    for most in (pieces.MOST_PIECES, 0):  # with what was learnt, and forgetting it
+        table.most = most
+        ids, count, exact = table.encode(pa.array(texts))
+        cut = np.append(0, np.cumsum(count))
+        assert exact.all() and [ids[a:b].tolist() for a, b in zip(cut, cut[1:])] == [ref.encode_ordinary(t or "") for t in texts]
+    # a false match of hashes is seen and mended
+    table.tokens[: table.used] = np.roll(table.tokens[: table.used], 1)
+    table.most = pieces.MOST_PIECES
+    ids, count, exact = table.encode(pa.array(texts[:7]))
+    assert exact.all() and ids.tolist() == [t for x in texts[:7] for t in ref.encode_ordinary(x or "")]
+
+
+def test_blocks_are_smaller_than_ids_and_damage_stays_in_its_block(spark):
+    docs = spark.createDataFrame([(i, prose(i, 2000)) for i in range(8)], "doc_id long, text string")
+    rows = rangecoder.write(docs, block=2048).collect()
+    assert sum(len(r["payload"]) for r in rows) < sum(2 * r["n_tokens"] for r in rows)
+    good = [rangecoder.decode_block(r["payload"], r["n_tokens"], r["crc32"]).tolist() for r in rows]
+    p = rows[1]["payload"]
+    bad = [r["payload"] if i != 1 else p[:9] + bytes([p[9] ^ 1]) + p[10:] for i, r in enumerate(rows)]
+    with pytest.raises(ValueError):
+        rangecoder.decode_block(bad[1], rows[1]["n_tokens"], rows[1]["crc32"])
+    assert all(rangecoder.decode_block(bad[i], r["n_tokens"], r["crc32"]).tolist() == good[i] for i, r in enumerate(rows) if i != 1)
+
+
 def test_embeddings_equal_all_pairs(spark):
     r = np.random.default_rng(1)
     base = r.normal(size=(60, 16))
@@ -178,11 +211,11 @@ def test_range_coder_round_trip(spark):
     texts = {i: prose(i, 900) for i in range(6)} | {9: ""}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     parts = rangecoder.read(rangecoder.write(docs, block=512)).orderBy("doc_id", "start").collect()
-    enc = bpe.Cached(bpe.Encoder(bpe.read_ranks(bpe.VOCABULARY)))
+    table = bpe.piece_table(bpe.VOCABULARY)
     got: dict = {}
     for p in parts:
         got.setdefault(p["doc_id"], []).extend(p["tokens"])
-    assert got == {i: list(enc.encode(t)) for i, t in texts.items() if t}
+    assert got == {i: table.encode(pa.array([t]))[0].tolist() for i, t in texts.items() if t}
 
 
 def test_imatch_joins_equal_the_broadcast(spark):
