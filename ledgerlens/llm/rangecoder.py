@@ -1,10 +1,10 @@
 """Token ids as compressed binary blocks: an adaptive context-mixing range coder.
 
-Within a block three models predict the next id: order 2 and order 1 recall the id that last followed the last
-two ids and the last one; order 0 counts the ids so far.  How long each recalled prediction has been right and
-whether the two agree selects a set of adaptive counts, which mix the models: they give the probabilities that
-the id is order 2's, else order 1's, else one coded by order 0, whose counts over a uniform floor are refreshed at
-fixed positions.  A 64-bit range coder codes these choices.  Every block starts afresh and carries a checksum, so
+Within a block three models predict the next id.  Order 2 and order 1 recall the id that last followed the last two
+ids and the last one; order 0 is the distribution of the ids so far over a uniform floor, renewed at fixed positions.
+Their distributions are blended, each with its own weight, into one from which a 64-bit range coder codes the id.
+The weights adapt: they follow how often each model has been right in the same situation, told by how long either
+recalled prediction has been right and whether the two agree.  Every block starts afresh and carries a checksum, so
 blocks are coded side by side here, and read in any order.
 """
 
@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import PATTERN, VOCABULARY, read_ranks
+from .bpe import VOCABULARY, Encoder, piece_table, read_ranks
 from .common import ids, slices
 
 BLOCK, ALPHABET, GAIN, MOST = 8192, 1 << 16, 32, 3  # tokens a block; ids below; weight of a count; longest streak told apart
-BATCH, GROUP = 1 << 22, 64  # tokens coded at once; blocks modelled at once, as fit the cache
+REFRESH, SHARE = 512, 255  # positions between renewals of order 0; largest weight of a model, less 1
+BATCH, GROUP = 1 << 23, 32  # tokens coded at once; blocks modelled at once, as fit the cache
 TOP, BOTTOM = 1 << 48, 1 << 32  # 16 bits leave at a time
 _STREAKS = MOST + 2  # 0: nothing recalled; else 1 + streak
 
@@ -32,9 +33,9 @@ _STREAKS = MOST + 2  # 0: nothing recalled; else 1 + streak
 @lru_cache
 def refreshes(n: int) -> tuple[int, ...]:
     """Positions from which on order 0 knows all ids before them."""
-    out = [0, 64, 128, 256, 512]
+    out = [0, 64, 128, 256, REFRESH]
     while out[-1] < n:
-        out.append(out[-1] + 512)
+        out.append(out[-1] + REFRESH)
     return tuple(out)
 
 
@@ -60,8 +61,34 @@ def _recalled(x: np.ndarray, context: np.ndarray, pos: np.ndarray, bits: int, fi
     return out, conf
 
 
-def _events(x: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, cumulative, frequency, total): what the coder codes for blocks of ``size`` ids, in order; start by block."""
+def _before(x: np.ndarray, size: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(smaller, equal, known): of the ids that order 0 knows at each position, how many are smaller, equal, and all."""
+    smaller, equal, known = (np.zeros(len(x), np.int32) for _ in range(3))
+    for a, n in zip(first.tolist(), size.tolist()):
+        if not n:
+            continue
+        marks = np.array([m for m in refreshes(n) if m < n], np.int64)
+        key = np.sort((x[a : a + n].astype(np.int64) << 32) | np.arange(n))
+        pos = key & 0xFFFFFFFF
+        new = (key >> 32)[1:] != (key >> 32)[:-1]
+        code = np.zeros(n, np.int32)
+        code[pos[1:]] = np.cumsum(new)
+        distinct = int(new.sum()) + 1
+        part = np.repeat(np.arange(len(marks), dtype=np.int32), np.diff(np.append(marks, n)))  # since which mark
+        held = np.bincount(part * distinct + code, minlength=len(marks) * distinct).astype(np.int32).reshape(-1, distinct)
+        upto = np.zeros((len(marks), distinct + 1), np.int32)  # by mark: ids before it that are smaller than each
+        np.cumsum(held[:-1], 0, out=upto[1:, 1:])
+        np.cumsum(upto[:, 1:], 1, out=upto[:, 1:])
+        at = part * (distinct + 1) + code
+        flat = upto.ravel()
+        smaller[a : a + n] = flat[at]
+        equal[a : a + n] = flat[at + 1] - flat[at]
+        known[a : a + n] = marks[part]
+    return smaller, equal, known
+
+
+def _intervals(x: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cumulative, frequency, total) of each id of blocks of ``size`` ids under the blended model."""
     x, n, first = x.astype(np.int32), len(x), np.cumsum(size) - size
     block = np.repeat(np.arange(len(size), dtype=np.int32), size)
     pos = np.arange(n, dtype=np.int32) - np.repeat(first.astype(np.int32), size)
@@ -74,79 +101,88 @@ def _events(x: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     p2, s2 = _recalled(x, (one << 17) | two, pos, bits, first, 34)
     del one, two
     agree = (s1 > 0) & (s2 > 0) & (p1 == p2)
-    bucket = (s2 * _STREAKS + s1) * 2 + agree
+    situation = (s2 * _STREAKS + s1) * 2 + agree
     can2, can1 = s2 > 0, (s1 > 0) & ~agree
-    choice = np.where(can2 & (x == p2), np.int8(0), np.where(can1 & (x == p1), np.int8(1), np.int8(2)))
-    group = block * (2 * _STREAKS * _STREAKS) + bucket
+    right = np.where(can2 & (x == p2), np.int8(0), np.where(can1 & (x == p1), np.int8(1), np.int8(2)))
+    group = block * (2 * _STREAKS * _STREAKS) + situation
     order = np.argsort(group.astype(np.uint16) if len(size) <= 1300 else group, kind="stable")  # 16 bits: radix sort
     group = group[order]
     begin = np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1]) if n else np.zeros(0, bool), np.arange(n, dtype=np.int32), 0))
-    freq = np.empty((3, n), np.int32)
-    taken = choice[order]
+    seen = np.arange(1, n + 1, dtype=np.int32) - begin  # 1 + how often the situation was met
+    weight = np.empty((3, n), np.int32)
+    taken = right[order]
     for k in range(3):
         mine = taken == k
         before = np.cumsum(mine, dtype=np.int32) - mine
-        freq[k, order] = 1 + 2 * (before - before[begin])
-    freq[0][~can2], freq[1][~can1] = 0, 0
-    literal = np.zeros((2, n), np.int32)  # ids before that are smaller, that are equal
-    known = np.zeros(n, np.int32)
-    asked, spelt = can2 | can1, choice == 2
-    for b in range(len(size)):
-        mine = x[first[b] : first[b] + size[b]]
-        marks = [m for m in refreshes(int(size[b])) if m < size[b]]
-        for m, stop in zip(marks[1:], [*marks[2:], int(size[b])]):
-            at = first[b] + m + np.flatnonzero(spelt[first[b] + m : first[b] + stop])
-            prefix, want = np.sort(mine[:m]), x[at]
-            lo = np.searchsorted(prefix, want, "left")
-            literal[0, at], literal[1, at], known[at] = lo, np.searchsorted(prefix, want, "right") - lo, m
-    count = asked.astype(np.int8) + spelt
-    end = np.cumsum(count, dtype=np.int64)
-    cum, fr, total = (np.empty(int(end[-1]) if n else 0, np.uint32) for _ in range(3))
-    at = (end - count)[asked]
-    cum[at] = np.where(choice == 0, 0, np.where(choice == 1, freq[0], freq[0] + freq[1]))[asked]
-    fr[at], total[at] = freq[choice, np.arange(n)][asked], freq.sum(0)[asked]
-    at = end[spelt] - 1
-    cum[at], fr[at], total[at] = (x + GAIN * literal[0])[spelt], (1 + GAIN * literal[1])[spelt], (ALPHABET + GAIN * known)[spelt]
-    return np.append(0, end)[np.append(first, n)], cum, fr, total
+        weight[k, order] = 1 + SHARE * (before - before[begin]) // seen
+    w2, w1, w0 = weight
+    w2[~can2], w1[~can1] = 0, 0
+    smaller, equal, known = _before(x, size, first)
+    mass = ALPHABET + GAIN * known
+    w2 *= mass
+    w1 *= mass
+    cum = w0 * (x + GAIN * smaller) + np.where(p2 < x, w2, 0) + np.where(p1 < x, w1, 0)
+    freq = w0 * (1 + GAIN * equal) + np.where(p2 == x, w2, 0) + np.where(p1 == x, w1, 0)
+    return cum.astype(np.uint32), freq.astype(np.uint32), (w0 * mass + w2 + w1).astype(np.uint32)
 
 
 def encode_blocks(x: np.ndarray, size: np.ndarray) -> list[bytes]:
     """The payload of each block; ``x`` holds the blocks' ids one after another."""
-    cut, parts = np.append(0, np.cumsum(size)), []
+    lanes, longest = np.argsort(-size, kind="stable"), int(size.max() if len(size) else 0)
+    if not longest:
+        return [b""] * len(size)
+    cut = np.append(0, np.cumsum(size))
+    code = np.ones((3, longest, len(size)), np.uint32)  # by position, then by lane
+    lane_of = np.empty(len(size), np.int64)
+    lane_of[lanes] = np.arange(len(size))
     for i in range(0, len(size), GROUP):
-        parts.append(_events(x[cut[i] : cut[min(i + GROUP, len(size))]], size[i : i + GROUP]))
-    events = np.concatenate([np.zeros(0, np.int64), *(np.diff(p[0]) for p in parts)]).astype(np.int64)
-    start = np.append(0, np.cumsum(events))
-    code = np.concatenate([np.zeros((0, 3), np.uint32), *(np.stack(p[1:], 1) for p in parts)])  # side by side, for one gather
-    del parts
-    lanes = np.argsort(-events, kind="stable")
-    base, left = start[:-1][lanes], events[lanes]
+        parts = _intervals(x[cut[i] : cut[min(i + GROUP, len(size))]], size[i : i + GROUP])
+        own = cut[i : i + GROUP] - cut[i]
+        same = bool((size[i : i + GROUP] == longest).all())
+        for k in range(3):
+            if same:
+                code[k][:, lane_of[i : i + GROUP]] = parts[k].reshape(-1, longest).T
+            else:
+                for b, (a, n) in enumerate(zip(own.tolist(), size[i : i + GROUP].tolist())):
+                    code[k, :n, lane_of[i + b]] = parts[k][a : a + n]
     low, wide = np.zeros(len(lanes), np.uint64), np.full(len(lanes), 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out, used = np.zeros((len(lanes), int(size.max() if len(size) else 0) * 3 + 8), ">u2"), np.zeros(len(lanes), np.int64)
+    out, used = np.zeros((len(lanes), longest * 3 // 2 + 64), np.uint16), np.zeros(len(lanes), np.int64)
     top, bottom, step, high = np.uint64(TOP), np.uint64(BOTTOM), np.uint64(16), np.uint64(48)
-    ends = np.searchsorted(-left, -np.arange(1, (left[0] if len(left) else 0) + 1), "right")
+    ends = np.searchsorted(-size[lanes], -np.arange(1, longest + 1), "right")
     for e, live in enumerate(ends.tolist()):
-        c, f, t = code[base[:live] + e].T.astype(np.uint64)
+        c, f, t = code[:, e, :live].astype(np.uint64)
         r = wide[:live] // t
-        lo = low[:live] + c * r
-        r = f * r
-        while True:
-            settled = (lo ^ (lo + r)) < top
-            due = np.flatnonzero(settled | (r < bottom))
-            if not len(due):
-                break
-            tight = due[~settled[due]]
-            r[tight] = (~lo[tight] + np.uint64(1)) & (bottom - np.uint64(1))
-            out[due, used[due]] = lo[due] >> high
-            used[due] += 1
-            lo[due] <<= step
-            r[due] <<= step
+        c *= r
+        c += low[:live]
+        f *= r
+        lo, r = c, f
+        due = np.flatnonzero((lo ^ (lo + r)) < top)
+        tight = np.flatnonzero(r < bottom)
+        while len(due) or len(tight):
+            if len(tight):  # what straddles a boundary is cut short
+                tight = tight[(lo[tight] ^ (lo[tight] + r[tight])) >= top]
+                r[tight] = (~lo[tight] + np.uint64(1)) & (bottom - np.uint64(1))
+                due = np.append(due, tight)
+            at = used[due]
+            if at.max() >= out.shape[1]:
+                out = np.concatenate([out, np.zeros_like(out)], 1)
+            now, range_ = lo[due], r[due]
+            out[due, at] = now >> high
+            used[due] = at + 1
+            now <<= step
+            range_ <<= step
+            lo[due], r[due] = now, range_
+            small = range_ < bottom
+            settled = (now ^ (now + range_)) < top
+            due, tight = due[settled], due[small & ~settled]
         low[:live], wide[:live] = lo, r
+    out = np.concatenate([out, np.zeros((len(lanes), 4), np.uint16)], 1)
     for k in range(4):
         out[np.arange(len(lanes)), used + k] = (low >> np.uint64(48 - 16 * k)) & np.uint64(0xFFFF)
+    out = out.astype(">u2")
     payload: list[bytes] = [b""] * len(lanes)
     for i, lane in enumerate(lanes.tolist()):
-        payload[lane] = out[i, : used[i] + 4].tobytes() if left[i] else b""
+        payload[lane] = out[i, : used[i] + 4].tobytes() if size[lane] else b""
     return payload
 
 
@@ -163,19 +199,6 @@ def decode_block(payload: bytes, n: int, crc: int | None = None) -> np.ndarray:
     counts: dict[int, list[int]] = {}
     prefix: list[int] = []
     marks = set(refreshes(n))
-
-    def take(c: int, f: int, r: int) -> None:
-        nonlocal low, wide, code, at
-        low, wide = (low + c * r) & mask, f * r
-        while True:
-            if (low ^ ((low + wide) & mask)) >= TOP:
-                if wide >= BOTTOM:
-                    return
-                wide = -low & (BOTTOM - 1)
-            code = ((code << 16) | int.from_bytes(payload[at : at + 2].ljust(2, b"\0"), "big")) & mask
-            at += 2
-            low, wide = (low << 16) & mask, (wide << 16) & mask
-
     for i in range(n):
         if i in marks:
             prefix = sorted(x)
@@ -184,27 +207,31 @@ def decode_block(payload: bytes, n: int, crc: int | None = None) -> np.ndarray:
         (p1, s1), (p2, s2) = ((m[k][0], 1 + min(m[k][1], MOST)) if k in m else (0, 0) for m, k in zip(memory, keys))
         agree = s1 > 0 and s2 > 0 and p1 == p2
         seen = counts.setdefault((s2 * _STREAKS + s1) * 2 + agree, [0, 0, 0])
-        f = [1 + 2 * seen[0] if s2 else 0, 1 + 2 * seen[1] if s1 and not agree else 0, 1 + 2 * seen[2]]
-        pick = 2
-        if f[0] or f[1]:
-            r = wide // sum(f)
-            v = min(((code - low) & mask) // r, sum(f) - 1)
-            pick = 0 if v < f[0] else 1 if v < f[0] + f[1] else 2
-            take(sum(f[:pick]), f[pick], r)
-        if pick == 2:
-            total = ALPHABET + GAIN * len(prefix)
-            r = wide // total
-            v = min(((code - low) & mask) // r, total - 1)
-            a, b = 0, ALPHABET - 1  # the last id whose interval begins at or before v
-            while a < b:
-                m = (a + b + 1) // 2
-                a, b = (m, b) if m + GAIN * bisect_left(prefix, m) <= v else (a, m - 1)
-            less = bisect_left(prefix, a)
-            take(a + GAIN * less, 1 + GAIN * (bisect_right(prefix, a) - less), r)
-            t = a
-        else:
-            t = p2 if pick == 0 else p1
-        seen[pick] += 1
+        w2, w1, w0 = (1 + SHARE * c // (1 + sum(seen)) for c in seen)
+        mass = ALPHABET + GAIN * len(prefix)
+        w2, w1 = w2 * mass if s2 else 0, w1 * mass if s1 and not agree else 0
+
+        def below(t: int) -> int:
+            return w0 * (t + GAIN * bisect_left(prefix, t)) + (w2 if p2 < t else 0) + (w1 if p1 < t else 0)  # noqa: B023
+
+        total = w0 * mass + w2 + w1
+        r = wide // total
+        v = min(((code - low) & mask) // r, total - 1)
+        a, b = 0, ALPHABET - 1  # the last id whose interval begins at or before v
+        while a < b:
+            m = (a + b + 1) // 2
+            a, b = (m, b) if below(m) <= v else (a, m - 1)
+        t, c = a, below(a)
+        low, wide = (low + c * r) & mask, (below(a + 1) - c) * r
+        while True:
+            if (low ^ ((low + wide) & mask)) >= TOP:
+                if wide >= BOTTOM:
+                    break
+                wide = -low & (BOTTOM - 1)
+            code = ((code << 16) | int.from_bytes(payload[at : at + 2].ljust(2, b"\0"), "big")) & mask
+            at += 2
+            low, wide = (low << 16) & mask, (wide << 16) & mask
+        seen[0 if s2 and t == p2 else 1 if s1 and not agree and t == p1 else 2] += 1
         for m, k in zip(memory, keys):
             m[k] = [t, m[k][1] + 1 if m[k][0] == t else 0] if k in m else [t, 0]
         x.append(t)
@@ -214,23 +241,15 @@ def decode_block(payload: bytes, n: int, crc: int | None = None) -> np.ndarray:
     return got
 
 
-_tokenizers: dict[str, object] = {}
-
-
-def _write(path: str, ranks, block: int):
+def _write(path: str, shared, block: int):
     """Blocks of exactly ``block`` ids, but for the last of a batch: texts go on from one to the next."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokenizers:
-            import tiktoken
-
-            _tokenizers[path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks.value, special_tokens={})
-        encode = _tokenizers[path].encode_ordinary
-        held: list[tuple[int, np.ndarray]] = []
+        table = piece_table(path, shared)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # texts' ids, their counts and their tokens
         n = 0
 
         def out() -> pa.RecordBatch:
-            doc, length = np.array([d for d, _ in held], np.int64), np.array([len(t) for _, t in held], np.int64)
-            x = np.concatenate([t for _, t in held])
+            doc, length, x = (np.concatenate(c) for c in zip(*held))
             size = np.full(-(-len(x) // block), block, np.int64)
             size[-1] -= size.sum() - len(x)
             end = np.cumsum(length)
@@ -245,13 +264,14 @@ def _write(path: str, ranks, block: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_ids", "starts", "lengths", "n_tokens", "crc32", "payload"])
 
         for b in slices(batches):
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t:
-                    held.append((d, np.array(encode(t), np.int32)))
-                    n += len(held[-1][1])
-                    if n >= BATCH:
-                        yield out()
-                        held, n = [], 0
+            x, count, _ = table.encode(b.column(1))
+            some = count > 0
+            if some.any():
+                held.append((b.column(0).to_numpy()[some], count[some], x))
+                n += len(x)
+            if n >= BATCH:
+                yield out()
+                held, n = [], 0
         if n:
             yield out()
     return run
@@ -268,7 +288,7 @@ def write(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     if max(ranks.values()) >= ALPHABET:
         raise ValueError(f"ids must be below {ALPHABET}")
     d = ids(docs, key, text).select(F.col(key).cast("long").alias("doc_id"), text)
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(Encoder(ranks))
     return d.mapInArrow(_write(vocabulary, shared, block), "doc_ids array<long>, starts array<long>, lengths array<long>, n_tokens int, crc32 long, payload binary")
 
 
