@@ -94,6 +94,14 @@ def one_text_per_id(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return d.join(side, key, "left_anti").unionByName(d.join(side, key, "left_semi").groupBy(key).agg(F.min(text).alias(text)))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def small(keys: DataFrame, row_bytes: int = 64, most: int = MAX_BROADCAST_BYTES // 4) -> DataFrame:
     """Mark a stored key table for broadcast if its counted size allows; else leave the join to the planner."""
     return F.broadcast(keys) if keys.count() * row_bytes <= most else keys

@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ids, list_array, slices, small, stored
+from .common import ids, list_array, slices, small, stored, unused
 from .graph import components
 from .textkernel import mix, shingles, words
 
 SHINGLE, PERMS, BANDS, THRESHOLD = 3, 64, 32, 0.5
-_CHUNK = 1 << 15
+HOT, FEW, MANY = 100_000, 256, 4096  # members of a bucket put in order by one task; members of blocks compared
+_CHUNK, _PAIRS, _TASK = 1 << 15, 1 << 15, 20_000
 
 
 def permutations(perms: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,48 +96,66 @@ def _similar(perms: int, threshold: float):
     return run
 
 
-def _lead(perms: int, threshold: float):
-    """Within one bucket: a row joins the first earlier leader that it is similar to, or leads itself."""
-    def run(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("id")
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(-1, 2 * perms)
-        left, own, src, dst = np.arange(len(pdf)), pdf["id"].to_numpy(), [], []
-        while len(left) > 1:
-            near = (sig[left] == sig[left[0]]).mean(1) >= threshold
-            near[0] = False
-            src += own[left[near]].tolist()
-            dst += [int(own[left[0]])] * int(near.sum())
-            left = left[1:][~near[1:]]
-        return pd.DataFrame({"src": src, "dst": dst, "similarity": [threshold] * len(src)}, columns=["src", "dst", "similarity"]).astype({"src": "int64", "dst": "int64", "similarity": "float64"})
+def _across(perms: int, threshold: float):
+    """Of each (key, a, b) the members with role 0 against those with role 1: an edge where two components meet."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("a", "ascending"), ("b", "ascending"), ("role", "ascending"), ("id", "ascending")])
+        key, a, b, role, own, part = (table[c].to_numpy() for c in ("key", "a", "b", "role", "id", "component"))
+        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(-1, 2 * perms)
+        new = (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        cut = np.concatenate([[0], np.flatnonzero(new) + 1, [len(key)]])
+        src, dst, share = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for i, j in zip(cut, cut[1:]):
+            m = i + int((role[i:j] == 0).sum())
+            step = max(1, _PAIRS // max(1, j - m))
+            for at in range(i, m, step):
+                end = min(m, at + step)
+                same = (sig[at:end, None] == sig[None, m:j]).mean(2)
+                x, y = np.nonzero((same >= threshold) & (part[at:end, None] != part[None, m:j]))
+                ends = np.sort(np.stack([part[at + x], part[m + y]]), 0)
+                _, one = np.unique(ends, axis=1, return_index=True)  # one edge ties two components
+                src.append(own[at + x[one]]), dst.append(own[m + y[one]]), share.append(same[x[one], y[one]])
+        src, dst = np.concatenate(src), np.concatenate(dst)
+        return pa.table({"src": np.maximum(src, dst), "dst": np.minimum(src, dst), "similarity": np.concatenate(share)})
     return run
 
 
-def near_edges(signed: DataFrame, perms: int = PERMS, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified edges (src, dst, similarity), src > dst, that connect each group of near copies.
+def near_edges(signed: DataFrame, perms: int = PERMS, threshold: float = THRESHOLD, hot: int = HOT, few: int = FEW, many: int = MANY) -> DataFrame:
+    """Verified edges (src, dst, similarity), src > dst; their components are those of all similar pairs of a bucket.
 
-    Texts of one signature are tied to their smallest id.  Of the others, each bucket of a band ties every member
-    to its smallest id and to its predecessor: as many edges as members, however large the bucket.  Members whose
-    both ties fail the check on whole signatures are compared within the bucket, leader by leader.
+    Texts of one signature are tied to their smallest id.  Of the others, each bucket of a band ties every member to
+    its smallest id and to its predecessor: as many edges as members, however large the bucket.  Mostly that joins all
+    of a bucket.  Where it leaves several components, the members outside the largest are compared with all others of
+    the bucket, in blocks of ``few`` by ``many``, so that no pair that could join two components is left out.  Buckets
+    of more than ``hot`` members are put in order in parts.
     """
-    sorted_ = Window.partitionBy("whole").orderBy("id")
-    reps = signed.select("id", "whole", F.first("id").over(sorted_).alias("rep"))
+    own = stored(signed.groupBy("whole").agg(F.min("id").alias("rep")))  # of many copies, each partition sends one row
+    reps = signed.select("id", "whole").join(own, "whole")
     same = reps.where("id <> rep").select(F.col("id").alias("src"), F.col("rep").alias("dst"), F.lit(1.0).alias("similarity"))
-    lone = signed.join(reps.where("id = rep").select("id"), "id", "left_semi").select("id", F.explode("keys").alias("key"))
-    w = Window.partitionBy("key").orderBy("id")
-    ties = stored(lone.select("key", "id", F.first("id").over(w).alias("head"), F.lag("id").over(w).alias("before")).where("before is not null"))
-    pairs = ties.select(F.col("id").alias("src"), F.explode(F.array_distinct(F.array("head", "before"))).alias("dst")).distinct()
     sig = signed.select("id", "sig")
-    both = (pairs.join(sig.toDF("src", "a"), "src").join(sig.toDF("dst", "b"), "dst").select("src", "dst", "a", "b"))
+    lone = signed.join(own.select(F.col("rep").alias("id")), "id", "left_semi").select("id", F.explode("keys").alias("key"))
+    buckets = stored(lone.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1"))
+    members = stored(lone.join(small(buckets), "key"))
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / hot))
+    ties = members.select("id", "head", F.lag("id").over(Window.partitionBy("key", part).orderBy("id")).alias("before")).where("id <> head")
+    pairs = ties.select(F.col("id").alias("src"), F.explode(F.array_distinct(F.array("head", F.coalesce("before", "head")))).alias("dst")).distinct()
+    both = pairs.join(sig.toDF("src", "a"), "src").join(sig.toDF("dst", "b"), "dst").select("src", "dst", "a", "b")
     good = stored(both.mapInArrow(_similar(perms, threshold), "src long, dst long, similarity double"))
-    # members that neither tie holds, in buckets with at least two of them
-    held = good.select(F.col("src").alias("id"), F.col("dst").alias("to"))
-    loose = (ties.join(held.withColumnRenamed("to", "head"), ["id", "head"], "left_anti")
-             .join(held.withColumnRenamed("to", "before"), ["id", "before"], "left_anti"))
-    loose = loose.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").select("key", "id")
-    rest = loose.join(sig, "id").groupBy("key").applyInPandas(_lead(perms, threshold), "src long, dst long, similarity double")
-    return same.unionByName(good).unionByName(rest)
+    group = stored(components(good))
+    placed = members.join(small(group), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("held"))
+    mixed = stored(sizes.groupBy("key").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), F.count("*").alias("parts"), F.sum("held").alias("all"), F.max("held").alias("most")).where("parts > 1"))
+    n = mixed.agg(F.sum("all")).first()[0]
+    if not n:
+        return same.unionByName(good)
+    inside = placed.select("key", "id", "component").join(small(mixed), "key").join(sig, "id")
+    rows, columns = F.ceil((F.col("all") - F.col("most")) / few), F.ceil(F.col("all") / many)
+    cols = ["key", "a", "b", "role", "id", "component", "sig"]
+    asked = inside.where("component <> largest").select("*", F.pmod(F.xxhash64("id"), rows).alias("a"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("b"), F.lit(0).alias("role"))
+    others = inside.select("*", F.pmod(F.xxhash64("id"), columns).alias("b"), F.explode(F.sequence(F.lit(0), rows - 1)).alias("a"), F.lit(1).alias("role"))
+    tasks = F.pmod(F.xxhash64("key", "a", "b"), F.lit(max(1, -(-n // _TASK)))).alias("task")
+    rest = asked.select(cols).unionByName(others.select(cols)).select(tasks, "*").groupBy("task").applyInArrow(_across(perms, threshold), "src long, dst long, similarity double")
+    return same.unionByName(good).unionByName(stored(rest))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, perms: int = PERMS, bands: int = BANDS, threshold: float = THRESHOLD) -> DataFrame:
@@ -162,12 +181,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) ->
     The ids to drop are broadcast only where their counted size allows it, else both sides are shuffled by id.  Of
     rows that repeat an id the one of the smallest text stays; rows without an id stay.
     """
-    drop = stored(near_duplicates(docs, key, text, **how).where(~F.col("kept")).select(F.col("doc_id").alias("_drop")))
-    rest = docs.join(small(drop), F.col(key).cast("long") == F.col("_drop"), "left_anti")
-    twice = stored(docs.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("_twice")).count().where("count > 1").select("_twice"))
+    gone, again, row = (unused(docs, x) for x in ("gone", "again", "row"))
+    id_ = F.col(key).cast("long")
+    drop = stored(near_duplicates(docs, key, text, **how).where(~F.col("kept")).select(F.col("doc_id").alias(gone)))
+    rest = docs.join(small(drop), id_ == F.col(gone), "left_anti")
+    twice = stored(docs.where(F.col(key).isNotNull()).groupBy(id_.alias(again)).count().where("count > 1").select(again))
     if twice.isEmpty():
         return rest
-    same = F.col(key).cast("long") == F.col("_twice")
-    first = Window.partitionBy(key).orderBy(F.col(text).asc_nulls_last(), F.hash(*docs.columns))
-    return rest.join(small(twice), same, "left_anti").unionByName(
-        rest.join(small(twice), same, "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row"))
+    # what can't be hashed, as maps can't, is hashed as JSON
+    values = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    first = Window.partitionBy(id_).orderBy(F.col(text).asc_nulls_last(), F.xxhash64(*values))
+    return rest.join(small(twice), id_ == F.col(again), "left_anti").unionByName(
+        rest.join(small(twice), id_ == F.col(again), "left_semi").withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).drop(row))
