@@ -21,21 +21,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .common import ids
+from .common import ids, slices
 
 MIN_SCORE = 0.5
 MASK = "[SECRET]"
 
+# every length is open; a name is tried from its first character only, and blanks are taken whole, so that a failure costs no second look
 _TARGET = re.compile(
-    r"""(?<![\w.$-])(?P<q>["']?)(?P<name>[A-Za-z_$][\w.$-]{0,127})(?P=q)(?:\])?"""  # name, "name", ["name"]
-    r"""(?:[ \t]{0,8}:[ \t]{0,8}[A-Za-z_][\w.\[\]]{0,63}(?=[ \t]{0,8}=[^=]))?"""  # a type
-    r"""[ \t]{0,64}(?P<op>=>|:=|\+=|\.=|=(?![=~>])|:(?![:=]))[ \t]{0,64}""")
-_STRING = re.compile(r'''[rbuf]{0,2}(?:"""(?P<d3>(?:[^\\]|\\.)*?)"""|"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>(?:[^`\\]|\\.)*)`)''', re.S)
+    r"""(?<![\w.$-])(?P<q>["']?)(?P<name>[A-Za-z_$][\w.$-]*)(?P=q)(?:\])?"""  # name, "name", ["name"]
+    r"""(?:[ \t]*+:[ \t]*+[A-Za-z_][\w.\[\]]*+(?=[ \t]*+=[^=]))?"""  # a type
+    r"""[ \t]*+(?P<op>=>|:=|\+=|\.=|=(?![=~>])|:(?![:=]))[ \t]*+""")
+_STRING = re.compile(r'''(?P<kind>[rbufRBUF]{0,2})(?:"""(?P<d3>(?:[^\\]|\\.)*?)"""|"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>(?:[^`\\]|\\.)*)`)''', re.S)
 _REF = re.compile(r"\$\{?([A-Za-z_][\w.]*)\}?|([A-Za-z_][\w.]*)(?![\w(\[])")
 _BARE = re.compile(r"""[^\s"'`;,<>(){}\[\]]+""")
 _JOIN = re.compile(r"[ \t]*(?:\\\n[ \t]*)?(?:\+|\.|(?=[\"']))[ \t]*(?:\\?\n[ \t]*)?")
 _TAG = re.compile(r"<([A-Za-z_][\w.-]*)>([^<>\s][^<>\n]{3,}?)</\1>")
-_URL = re.compile(r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:([^\s@/]{3,128})@")
+_URL = re.compile(r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]++://[^\s:/@]++:([^\s@/]{3,}+)@")
+_BLOCK = re.compile(r"[|>][+-]?\d?[+-]?[ \t]*+\n")  # of YAML: the value is in the lines below, further in
+_FIELDS = {"f": re.compile(r"\{([A-Za-z_][\w.]*)\}"), "$": re.compile(r"\$\{([A-Za-z_][\w.]*)\}")}  # what a string refers to
 FORMATS = {
     "aws_access_key_id": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b", "github_token": r"\bgh[pousr]_[0-9A-Za-z]{36,}\b", "slack_token": r"\bxox[abpors]-[0-9A-Za-z-]{10,}",
     "google_api_key": r"\bAIza[0-9A-Za-z_-]{35}", "stripe_key": r"\b[sr]k_live_[0-9A-Za-z]{16,}", "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----",
@@ -50,7 +53,9 @@ _SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "passwort": 1.0
               "authtoken": 0.95, "accesstoken": 0.95, "credential": 0.8, "credentials": 0.8, "bearer": 0.8, "authorization": 0.8, "auth": 0.6, "jwt": 0.8, "otp": 0.6, "pin": 0.5, "salt": 0.6, "key": 0.45, "signature": 0.45}
 _BEFORE_KEY = {"api": 0.95, "access": 0.95, "secret": 1.0, "private": 1.0, "encryption": 0.95, "signing": 0.95, "auth": 0.9, "account": 0.8, "storage": 0.8, "master": 0.9, "ssh": 0.95, "aws": 0.8, "license": 0.6}
 _HARMLESS = {"id", "name", "count", "length", "len", "file", "path", "type", "field", "label", "hint", "prompt", "policy", "size", "limit", "max", "min", "expiry", "expires", "ttl", "url", "uri", "regex", "pattern", "column", "header", "public", "index", "version"}
-_PLACEHOLDER = re.compile(r"(?i)^(?:x{3,}|\*{2,}|\.{2,}|-{2,}|_+|0+|(?:change|replace|insert|enter|put|your|my|the|some|test|dummy|fake|sample|example|placeholder|redacted|secret|password|token|none|null|nil|true|false|undefined|todo|tbd)[\w .!-]{0,24})$|^[<{%\[].*[>}%\]]$|^\$\{?\w+\}?$|example")
+_STANDS_FOR = ("change|changed|replace|replaced|insert|enter|put|add|set|use|your|you|my|our|the|some|any|this|that|with|and|for|here|there|goes|in|it|is|to|me|now|a|an|test|testing|dummy|fake|sample|example|placeholder|redacted|hidden|masked|"
+               "removed|secret|password|passwd|passphrase|pass|pwd|token|key|api|auth|access|private|value|string|text|user|username|admin|name|none|null|nil|true|false|undefined|default|empty|todo|tbd|foo|bar|baz|na|env|var|config")
+_PLACEHOLDER = re.compile(rf"(?i)^(?:x{{3,}}|\*{{2,}}|\.{{2,}}|-{{2,}}|_+|0+|(?:(?:{_STANDS_FOR})(?![a-z])|(?:{_STANDS_FOR})(?={_STANDS_FOR})|[\W_]|\d{{1,4}}(?!\d))++)$|^[<{{%\[].*[>}}%\]]$|^\$\{{?\w+\}}?$|\bexample\b|example$")
 
 
 def name_score(name: str) -> float:
@@ -74,11 +79,44 @@ def strength(literal: str, quoted: bool) -> float:
     return min(1.0, h * n / 40)
 
 
+def _below(text: str, name: int, at: int) -> list[Part]:
+    """The lines from ``at`` on that lie further in than the line of the name at ``name``, without their margins."""
+    head = text[text.rfind("\n", 0, name) + 1 : name]
+    margin, out = len(head) - len(head.lstrip(" ")), []
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        line = text[at:end]
+        if line.strip():
+            if len(line) - len(line.lstrip(" ")) <= margin:
+                break
+            a = at + len(line) - len(line.lstrip())
+            out.append((True, line.strip(), a, a + len(line.strip())))
+        at = end + 1
+    return out
+
+
+def _split(part: Part, kind: str, known) -> list[Part]:
+    """A string's literals and the names that it refers to, if all of these are known."""
+    _, literal, a, b = part
+    found = list(_FIELDS[kind].finditer(literal))
+    if not found or not all(m[1] in known for m in found):
+        return [part]
+    out, i = [], 0
+    for m in found:
+        out += [(True, literal[i : m.start()], a + i, a + m.start()), (False, m[1], a + m.start(), a + m.end())]
+        i = m.end()
+    return [p for p in [*out, (True, literal[i:], a + i, b)] if not p[0] or p[1]]
+
+
 Part = tuple[bool, str, int, int]  # whether a literal; its text, or the name referred to; from, to
 
 
-def _value(text: str, at: int) -> tuple[list[Part], int, bool] | None:
-    """The expression at ``at``: its parts, where it ends, and whether any of them is quoted."""
+def _value(text: str, at: int, fields: dict[tuple[int, int], str] | None = None) -> tuple[list[Part], int, bool] | None:
+    """The expression at ``at``: its parts, where it ends, and whether any of them is quoted.
+
+    ``fields`` gets the spans of strings that may refer to names within, and how.
+    """
     parts: list[Part] = []
     end, quoted = at, False
     while True:
@@ -86,6 +124,8 @@ def _value(text: str, at: int) -> tuple[list[Part], int, bool] | None:
             g = next(g for g in ("d3", "d", "s", "b") if m[g] is not None)
             parts.append((True, m[g], *m.span(g)))
             quoted = True
+            if fields is not None and "{" in m[g]:
+                fields[m.span(g)] = "f" if "f" in m["kind"].lower() else "$"
         elif (m := _REF.match(text, at)) and (parts or m[1] or not (b := _BARE.match(text, at)) or b.end() <= m.end() or text[m.end()] == "+"):
             parts.append((False, m[1] or m[2], *m.span()))
         elif not parts and (m := _BARE.match(text, at)):
@@ -107,16 +147,24 @@ def scan(text: str | None, min_score: float = MIN_SCORE) -> list[tuple[str, int,
         return []
     pairs: list[tuple[str, list[Part], bool]] = []
     sets: dict[str, list[int]] = {}  # the pairs that set a name, in order
+    fields: dict[tuple[int, int], str] = {}
     i = 0
     while m := _TARGET.search(text, i):
         i = m.end()
-        if v := _value(text, i):
+        if m["op"] == ":" and (below := _BLOCK.match(text, i)):
+            i = below.end()
+            if name_score(m["name"]) and (lines := _below(text, m.start(), i)):
+                sets.setdefault(m["name"], []).append(len(pairs))
+                pairs.append((m["name"], lines, True))
+        elif v := _value(text, i, fields):
             parts = v[0]
             if m["op"] in ("+=", ".=") and m["name"] in sets:  # what the name had so far comes first
                 parts = [(False, m["name"], *m.span("name")), *parts]
             sets.setdefault(m["name"], []).append(len(pairs))
             pairs.append((m["name"], parts, v[2]))
             i = v[1]
+    if fields:
+        pairs = [(name, [q for p in parts for q in (_split(p, fields[p[2:]], sets) if p[0] and p[2:] in fields else [p])], quoted) for name, parts, quoted in pairs]
     known: dict[int, bool] = {}  # whether all that a pair needs is set; those that it needs are seen to first
 
     def source(name: str, at: int) -> int | None:
@@ -215,7 +263,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", min_s
     id are left out; other columns are never read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = [(i, n, s, e, x, len(v), hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for n, s, e, x, v in scan(t, min_score)]
             cols = list(zip(*rows)) or [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.string()))], ["doc_id", "name", "start", "end", "score", "length", "digest"])
@@ -224,10 +272,13 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", min_s
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", min_score: float = MIN_SCORE, mask: str = MASK) -> DataFrame:
-    """The table with secrets masked in ``text``; all other columns as they are.  Every row stays, with or without an id."""
+    """The table with secrets masked in ``text``; all other columns as they are.
+
+    Every row stays, with or without an id, and repeated ones too; null and empty texts stay as they are.
+    """
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for t in texts:
             yield pa.array([redact(x, min_score, mask) for x in t.to_pylist()], pa.string())
     ship(docs.sparkSession)
-    # two branches, so that only suspect texts go to Python
-    return docs.where(~suspect(text)).unionByName(docs.where(suspect(text)).withColumn(text, F.arrow_udf(run, "string")(F.col(text))))
+    # only suspect texts go to Python; what comes back null is as it was
+    return docs.withColumn(text, F.coalesce(F.arrow_udf(run, "string")(F.when(suspect(text), F.col(text))), F.col(text)))
