@@ -30,10 +30,8 @@ def json_text(x: Column | str, key: str) -> Column:
 
 
 def merge_json(old: Column | str, new: Column | str) -> Column:
-    """Shallow merge of two flat JSON objects; the new one's keys win; null counts as empty."""
-    kind = "map<string,string>"
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    a, b = (F.coalesce(F.from_json(_c(x), kind), empty) for x in (old, new))
+    """Shallow merge of two JSON objects; the new one's keys win, values keep their types; null counts as empty."""
+    a, b = (F.coalesce(F.try_parse_json(_c(x)), F.parse_json(F.lit("{}"))).cast("map<string,variant>") for x in (old, new))
     return F.to_json(F.map_concat(F.map_filter(a, lambda k, v: ~F.array_contains(F.map_keys(b), k)), b))
 
 

@@ -30,13 +30,6 @@ def split_trailing_date(x: Column) -> Column:
     return F.struct(F.when(x.rlike(pattern), blank_to_null(F.regexp_extract(x, pattern, 1))).otherwise(blank_to_null(x)).alias("text"), F.when(x.rlike(pattern), fara_date(F.regexp_extract(x, pattern, 2))).alias("day"))
 
 
-def repair_row(name: Column, country: Column, day: Column, over: Column) -> Column:
-    """struct(registrant, country, registered): where a name was torn in two, everything after it moves back by one."""
-    shifted = ~is_date(day) & is_date(over)
-    return F.struct(F.when(shifted, merge_broken(name, country)).otherwise(blank_to_null(name)).alias("registrant"),
-                    F.when(shifted, blank_to_null(day)).otherwise(blank_to_null(country)).alias("country"), fara_date(F.when(shifted, over).otherwise(day)).alias("registered"))
-
-
 def address(*parts: Column | str) -> Column:
     """Parts that aren't blank, joined by commas; null if there are none."""
     return F.nullif(F.concat_ws(", ", *(blank_to_null(p) for p in parts)), F.lit(""))

@@ -73,14 +73,3 @@ def resolve(rows: DataFrame, members: DataFrame, row_id: str = "row_id", name: s
         own = members.select(F.upper(F.trim("bioguide_id")).alias("_b"), "id").withColumn("_r", F.row_number().over(order)).where("_r = 1 and _b <> ''")
         found = found.unionByName(base.join(own, F.col("_bio") == F.col("_b")).select(row_id, F.col("id").alias("member_id"), F.col("_b").alias("matched_key"), F.lit("bioguide").alias("matched_kind")))
     return base.select(row_id).join(found, row_id, "left")
-
-
-def prefix_matches(rows: DataFrame, registry: DataFrame, left: str, right: str) -> DataFrame:
-    """Pairs of which one normalised name begins the other; blank names match nothing.
-
-    Equal first words are necessary, so rows are joined on the first word and only then compared.
-    """
-    a = rows.withColumn("_a", normalize_name(left)).withColumn("_w", F.split("_a", " ")[0]).where("_a <> ''")
-    b = registry.withColumn("_b", normalize_name(right)).withColumn("_w", F.split("_b", " ")[0]).where("_b <> ''")
-    word = lambda x, y: (F.col(x) == F.col(y)) | F.col(x).startswith(F.concat(F.col(y), F.lit(" "))) | F.col(y).startswith(F.concat(F.col(x), F.lit(" ")))
-    return a.join(b, "_w").where(word("_a", "_b")).drop("_w", "_a", "_b")

@@ -16,13 +16,20 @@ from .relational import pick_per_key
 def upsert(old: DataFrame, batch: DataFrame, keys: list[str], seq: str, now: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """``old`` with the rows of ``batch``, of which the last by ``seq`` counts for a key.
 
-    created_at and the columns named in ``keep`` survive; updated_at is ``now`` for rows that the batch touches.
-    Both sides meet once, by key.
+    created_at and the columns named in ``keep`` survive, as do those that only ``old`` has; updated_at is ``now`` for
+    rows that the batch touches.  Both sides meet once, by key; rows without a key meet nothing and stay beside each other.
     """
     new = pick_per_key(batch, keys, F.desc(seq)).drop(seq)
-    cols = [c for c in new.columns if c not in keys]
+    times = ("created_at", "updated_at")
+    cols = [c for c in dict.fromkeys([*new.columns, *old.columns]) if c not in keys and c not in times]
+    mine, theirs = set(new.columns), set(old.columns)
     both = old.alias("o").join(new.alias("n").withColumn("_new", F.lit(True)), keys, "full_outer")
-    pick = lambda c: F.when(F.col("_new"), F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}")) if c in keep else F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
+
+    def pick(c: str) -> Column:
+        if c not in mine:
+            return F.col(f"o.{c}").alias(c)
+        was = F.col(f"o.{c}") if c in theirs else F.lit(None)
+        return F.when(F.col("_new"), F.coalesce(was, F.col(f"n.{c}")) if c in keep else F.col(f"n.{c}")).otherwise(was).alias(c)
     return both.select(*keys, *map(pick, cols), F.coalesce("o.created_at", now).alias("created_at"), F.when(F.col("_new"), now).otherwise(F.col("o.updated_at")).alias("updated_at"))
 
 
@@ -37,10 +44,14 @@ def sync_queue(old: DataFrame, batch: DataFrame, key: str, held: tuple[str, ...]
     return both.select(key, status.alias("status"), merge_json("o.metadata", "n.metadata").alias("metadata"))
 
 
-def update_by_key(table: DataFrame, changes: DataFrame, key: str, *columns: str) -> DataFrame:
-    """Columns set from ``changes`` where it has a value for the key; blanks keep the old one."""
-    c = changes.select(F.col(key).alias("_k"), *(F.col(x).alias(f"_{x}") for x in columns))
-    new = {x: F.coalesce(F.nullif(F.col(f"_{x}").cast("string"), F.lit("")).cast(table.schema[x].dataType), F.col(x)) for x in columns}
+def update_by_key(table: DataFrame, changes: DataFrame, key: str, *columns: str, merge: tuple[str, ...] = ()) -> DataFrame:
+    """Columns set from ``changes`` where it has a value for the key; nulls and blank texts keep the old one.
+
+    Values may be of any type, vectors too; the JSON columns named in ``merge`` are merged shallowly.
+    """
+    c = changes.select(F.col(key).alias("_k"), *(F.col(x).alias(f"_{x}") for x in (*columns, *merge)))
+    kept = lambda x: F.nullif(F.col(f"_{x}"), F.lit("")) if table.schema[x].dataType.simpleString() == "string" else F.col(f"_{x}").cast(table.schema[x].dataType)
+    new = {x: F.coalesce(kept(x), F.col(x)) for x in columns} | {x: F.when(F.col("_k").isNotNull(), merge_json(x, f"_{x}")).otherwise(F.col(x)) for x in merge}
     return table.join(c, F.col(key) == F.col("_k"), "left").withColumns(new).select(*table.columns)
 
 

@@ -9,8 +9,8 @@ from ..functions.collections import json_text, merge_json
 from ..functions.dates import fara_date, feed_date, iso_from_us, reconcile_dates, senate_date
 from ..functions.hashing import sha1_key, sha256_key
 from ..functions.money import bracket, parse_range
-from ..functions.text import lookup_keys, normalize_name, split_multi, squeeze, strip_accents, text_confidence, token_estimate
-from ..operators.fara import PRINCIPAL, repair_principals, repair_row
+from ..functions.text import html_to_text, lookup_keys, normalize_name, split_multi, squeeze, strip_accents, text_confidence, token_estimate
+from ..operators.fara import PRINCIPAL, repair_principals
 from ..rules.crypto import classify
 from .base import Tables, query
 
@@ -22,13 +22,6 @@ def q19_squeeze_text(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", squeeze("text").alias("text"))
 
 
-@query(rf"SELECT page_id, trim(regexp_replace(regexp_replace(replace(html, '&nbsp;', ' '), '<[^>]+>', ' ', 'g'), '{_WS}', ' ', 'g')) AS text FROM pages")
-def q20_html_to_text(t: Tables) -> DataFrame:
-    """Without character references but the hard space, as SQL has nothing for them."""
-    from ..functions.text import html_to_text
-    return t.pages.select("page_id", html_to_text("html", entities=False).alias("text"))
-
-
 @query("SELECT doc_id, strip_accents(text) AS text FROM documents")
 def q21_strip_accents(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", strip_accents("text").alias("text"))
@@ -132,17 +125,6 @@ def q31_classify_rules(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", classify(ticker, text).alias("c")).select("p_partkey", F.coalesce("c.symbol", F.lit("-")).alias("symbol"), "c.kind", "c.confidence")
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'SMITH & ASSOCIATES LLC' END AS registrant, CASE c_custkey % 3 WHEN 0 THEN 'SMITH' WHEN 1 THEN 'US' ELSE 'GB' END AS country,
-strftime(DATE '2020-01-01' + (c_custkey % 365)::INT, '%Y-%m-%d') AS registered FROM customer""")
-def q51_fara_repair(t: Tables) -> DataFrame:
-    """Rows whose columns are shifted by one or two, or not at all."""
-    k = F.col("c_custkey") % 3
-    day = F.date_format(F.date_add(F.to_date(F.lit("2020-01-01")), (F.col("c_custkey") % 365).cast("int")), "MM/dd/yyyy")
-    return t.customer.select("c_custkey", repair_row(
-        F.when(k == 0, None).otherwise(F.when(k == 1, "SMITH & ASSOCIATES LLC").otherwise("SMITH &")), F.when(k == 0, "SMITH").when(k == 1, F.lit("US")).otherwise("ASSOCIATES LLC"),
-        F.when(k == 2, F.lit("GB")).otherwise(day), F.when(k == 2, day)).alias("r")).select("c_custkey", "r.*")
-
-
 @query(r"""WITH s AS (SELECT s_suppkey, ['Malta', 'malta ', 'Korea', 'Isle' || s_suppkey % 5, 'UK', 'Peru'] AS xs FROM supplier)
 SELECT s_suppkey, 'Malta;Korea;Isle' || s_suppkey % 5 || ';UK;Peru' AS countries FROM s""")
 def q53_offshore_multivalue(t: Tables) -> DataFrame:
@@ -150,15 +132,21 @@ def q53_offshore_multivalue(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", F.array_join(split_multi(text), ";").alias("countries"))
 
 
-@query()
-def q56_html_to_text_all(t: Tables) -> DataFrame:
-    """q20 with all character references."""
-    from ..functions.text import html_to_text
+def _unescaped(x: str) -> str:
+    """SQL that resolves the character references that the table has, & last."""
+    for name, c in (("&nbsp;", " "), ("&quot;", '"'), ("&copy;", "\u00a9"), ("&middot;", "\u00b7")):
+        x = f"replace({x}, '{name}', '{c}')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
+@query(rf"SELECT page_id, trim(regexp_replace(regexp_replace({_unescaped('html')}, '<[^>]+>', ' ', 'g'), '{_WS}', ' ', 'g')) AS text FROM pages")
+def q20_html_to_text(t: Tables) -> DataFrame:
     return t.pages.select("page_id", html_to_text("html").alias("text"))
 
 
-@query()
-def q60_fara_repair_all(t: Tables) -> DataFrame:
+@query("""WITH k AS (SELECT c_custkey, c_custkey::VARCHAR AS n, c_custkey % 3 AS k FROM customer)
+SELECT c_custkey, CASE k WHEN 2 THEN 'AC ME' ELSE 'ACME' END AS "Foreign Principal", '01/02/2020' AS "Foreign Principal Registration Date", 'MALTA' AS "Country/Location Represented", n AS "Registration Number", '03/04/2019' AS "Registrant Date", 'SMITH LLC' AS "Registrant Name", '1 Road' AS "Address 1", '' AS "Address 2", 'Kyiv' AS "City", 'DC' AS "State", CASE k WHEN 2 THEN '' ELSE '20001' END AS "Zip" FROM k""")
+def q51_fara_repair(t: Tables) -> DataFrame:
     """Rows of all columns, sound or shifted to either side."""
     n, k = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3
     sound = ["ACME", "01/02/2020", "MALTA", n, "03/04/2019", "SMITH LLC", "1 Road", "", "Kyiv", "DC", "20001"]

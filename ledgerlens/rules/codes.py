@@ -42,5 +42,11 @@ def senate_asset(x: Column | str) -> Column:
 
 
 def retryable(error: Column | str) -> Column:
-    """Whether an error's text tells of something that may pass."""
-    return F.coalesce(_c(error).rlike("(?i)timeout|timed out|connection|temporar|rate limit|429|50[0234]|unavailable|reset by peer"), F.lit(False))
+    """Whether an error's text tells of something that may pass: a report not there yet, a time-out, a lost connection."""
+    return F.coalesce(_c(error).rlike("(?i)PTR PDF fetch failed with 404|timeout|timed out|connection reset|temporarily unavailable"), F.lit(False))
+
+
+def outcome(trades: Column, member: Column, confidence: Column, error: Column) -> Column:
+    """A report's status after an extraction: back in the queue, parsed, or for review."""
+    sound = (F.coalesce(trades, F.lit(0)) > 0) & (F.coalesce(member.cast("string"), F.lit("")) != "") & (F.coalesce(confidence, F.lit(0.0)) >= 0.6)
+    return F.when(retryable(error), "pending_extraction").when(error.isNull() & sound, "parsed").otherwise("needs_review")

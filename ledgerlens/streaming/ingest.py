@@ -11,6 +11,7 @@ from pyspark.sql.types import IntegerType
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.relational import pick_per_key
+from ..rules.codes import outcome
 from ..session import scratch, ship
 
 LATE = "14 days"
@@ -43,29 +44,22 @@ def windowed_counts(events: DataFrame, late: str = LATE, width: str = "1 day") -
     return once.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-PENDING, EXTRACTING, PARSED, REVIEW = "pending_extraction", "extracting", "parsed", "needs_review"
+PENDING, PARSED = "pending_extraction", "parsed"
 
 
-def next_status(status: str, event: str) -> str:
-    """The queue's transitions: an error sends what isn't parsed back, a success goes on, a check asks for review."""
-    if event == "error":
-        return PENDING if status != PARSED else PARSED
-    if event == "purchase":
-        return PARSED
-    if event == "signup" and status == EXTRACTING:
-        return REVIEW
-    return EXTRACTING if status == PENDING else status
+def queue_states(tries: DataFrame, key: str = "user_id", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+    """(key, status, retries, attempts): each key's state after its extractions, in order within a batch.
 
-
-def queue_states(events: DataFrame, key: str = "user_id") -> DataFrame:
-    """(key, status, attempts, n): each key's state after its events, in order of time and id within a batch."""
-    ship(events.sparkSession)
+    ``tries`` has trades, member_id, confidence and error.  What is parsed stays parsed; else the last try counts.
+    """
+    ship(tries.sparkSession)
+    told = tries.select(key, *order, outcome(F.col("trades"), F.col("member_id"), F.col("confidence"), F.col("error")).alias("outcome"))
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status, attempts, n = state.get if state.exists else (PENDING, 0, 0)
-        for e in pd.concat(frames).sort_values(["ts", "event_id"])["event_type"]:
-            attempts += e == "error"
-            status, n = next_status(status, e), n + 1
-        state.update((status, int(attempts), int(n)))
-        yield pd.DataFrame({key: [k[0]], "status": [status], "attempts": [int(attempts)], "n": [int(n)]})
-    return events.groupBy(key).applyInPandasWithState(step, f"{key} long, status string, attempts long, n long", "status string, attempts long, n long", "update", GroupStateTimeout.NoTimeout)
+        status, retries, attempts = state.get if state.exists else (PENDING, 0, 0)
+        got = pd.concat(frames).sort_values([*order])["outcome"]
+        retries, attempts = int(retries + (got == PENDING).sum()), int(attempts + len(got))
+        status = PARSED if status == PARSED or (got == PARSED).any() else got.iloc[-1] if len(got) else status
+        state.update((status, retries, attempts))
+        yield pd.DataFrame({key: [k[0]], "status": [status], "retries": [retries], "attempts": [attempts]})
+    return told.groupBy(key).applyInPandasWithState(step, f"{key} long, status string, retries long, attempts long", "status string, retries long, attempts long", "update", GroupStateTimeout.NoTimeout)

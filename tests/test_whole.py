@@ -5,10 +5,10 @@ def test_upserts_read_every_event(spark, sf_dir):
     import ledgerlens.queries as own
 
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    got = own.QUERIES["q55_upsert_conditional_all"](spark, sf_dir).collect()
+    got = own.QUERIES["q46_upsert_conditional"](spark, sf_dir).collect()
     assert sum(int(r["old"] or 0) + int(r["new"] or 0) for r in got) == events.count()
     last = {r["user_id"]: r["value"] for r in events.orderBy("ts", "event_id").collect()}
-    assert {r["user_id"] for r in own.QUERIES["q54_upsert_all"](spark, sf_dir).collect()} == set(last)
+    assert {r["user_id"] for r in own.QUERIES["q45_upsert"](spark, sf_dir).collect()} == set(last)
 
 
 def test_html_to_text_equals_unescape(spark, sf_dir):
@@ -21,7 +21,7 @@ def test_html_to_text_equals_unescape(spark, sf_dir):
     def plain(x):
         return re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", html.unescape(x.replace("&nbsp;", " ")))).strip()
     pages = {r["page_id"]: plain(r["html"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
-    assert {r["page_id"]: r["text"] for r in own.QUERIES["q56_html_to_text_all"](spark, sf_dir).collect()} == pages
+    assert {r["page_id"]: r["text"] for r in own.QUERIES["q20_html_to_text"](spark, sf_dir).collect()} == pages
     texts = ["<p>A &amp; B&#39;s&nbsp;&lt;b&gt;x&#x2014;&copy; &amp;amp; &hellip;</p>", "no", "&notareal; &#160;&", "<i>a</i>\n\tb"]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", html_to_text("x").alias("t")).collect()
     assert {r["i"]: r["t"] for r in rows} == {i: plain(x) for i, x in enumerate(texts)}
@@ -55,7 +55,7 @@ def test_chunks_of_paragraphs_equal_brute_force(spark, tmp_path):
     docs = [(i, r.choice(["\n\n", "\r\n\r\n", "\n \n", "\n\n\n\n"]).join(word(r.choice([1, 30, 200, 600, 1700])) for _ in range(r.randrange(1, 9)))) for i in range(30)]
     docs += [(30, ""), (31, "\n\n \n"), (32, None)]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = own.QUERIES["q57_chunk_all"](spark, str(tmp_path)).collect()
+    got = own.QUERIES["q37_chunk"](spark, str(tmp_path)).collect()
     assert sorted((q["doc_id"], q["chunk_index"], q["content"]) for q in got) == [(i, j, c) for i, t in docs if t for j, c in enumerate(chunks(t))]
 
 
@@ -90,9 +90,9 @@ def test_resolve_equals_brute_force(spark, sf_dir):
     got = {r["row_id"]: (r["member_id"], r["matched_kind"]) for r in resolve(table, spark.createDataFrame(members, "id int, bioguide_id string, name string, state string"), bioguide="bioguide").collect()}
     want = {i: one(*r) for i, r in enumerate(rows)}
     assert got == want and {k for _, k in want.values()} == {"key", "prefix", "bioguide", None}
-    every = own.QUERIES["q58_resolve_members_all"](spark, sf_dir).collect()
+    every = own.QUERIES["q32_resolve_members"](spark, sf_dir).collect()
     assert len(every) == spark.read.parquet(f"{sf_dir}/orders.parquet").count() and {"key", "bioguide"} <= {r["matched_kind"] for r in every}
-    assert "prefix" in {r["matched_kind"] for r in own.QUERIES["q59_prefix_fallback_all"](spark, sf_dir).collect()}
+    assert "prefix" in {r["matched_kind"] for r in own.QUERIES["q33_prefix_fallback"](spark, sf_dir).collect()}
 
 
 def test_fara_rows_shifted_either_way(spark):
