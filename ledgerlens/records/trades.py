@@ -30,7 +30,8 @@ def _id(kind: Column) -> Column:
 
 def house_trades(stubs: DataFrame, results: DataFrame, transactions: DataFrame) -> DataFrame:
     """A trade for each parsed transaction of a report (doc_id), with its stub's member, dates and link."""
-    t = transactions.join(results.select("doc_id", F.col("parser_confidence").alias("_sure")), "doc_id").join(stubs.select("doc_id", "member_id", "source_url", F.col("filing_date").alias("disclosure_date")), "doc_id")
+    own = transactions.select("doc_id", "line_number", "ticker", "asset_description", "asset_type", "transaction_type", "transaction_date", "amount_min", "amount_max", "owner")
+    t = own.join(results.select("doc_id", F.col("parser_confidence").alias("_sure")), "doc_id").join(stubs.select("doc_id", "member_id", "source_url", F.col("filing_date").alias("disclosure_date")), "doc_id")
     t = t.withColumn("crypto", classify("ticker", "asset_description"))
     comment = F.concat(F.lit("Parsed from House PTR "), F.col("doc_id"), F.lit(" at "), F.bround(F.col("_sure") * 100, 0).cast("int"), F.lit("% confidence"))
     return t.select("member_id", F.lit("house-clerk").alias("source"), F.lit("house-ptr").alias("disclosure_kind"), F.concat_ws(":", "doc_id", "line_number").alias("source_id"), "source_url", "ticker", "asset_description",
