@@ -229,7 +229,10 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
 
 
 def decode(rows: DataFrame, key: str = "doc_id", tokens: str = "tokens", vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, text): the texts that token lists stand for; null lists give null texts."""
+    """(doc_id, text): the texts that token lists stand for; null lists give null texts, empty ones empty texts.
+
+    Repeated rows are decoded each; rows without an id are left out; an empty table gives an empty one.
+    """
     d = ids(rows, key, tokens).select(F.col(key).cast("long").alias("doc_id"), tokens)
     ranks = read_ranks(vocabulary)
     names = [b""] * (max(ranks.values()) + 1)

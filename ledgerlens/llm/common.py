@@ -15,10 +15,19 @@ from pyspark.sql import functions as F
 from ..session import ship
 
 MAX_BROADCAST_BYTES = 256 << 20  # what one Python worker may hold of a broadcast side
+ARROW_BYTES = 8 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"  # and Spark's own value
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the workers; let Arrow batches hold 8 MB of texts, where the session doesn't say otherwise."""
     ship(spark)
+    if spark.conf.get(_ARROW[0], _ARROW[1]) == _ARROW[1]:
+        spark.conf.set(_ARROW[0], f"{ARROW_BYTES}b")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,7 +65,7 @@ def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
     Unlike a cached or locally checkpointed frame the files outlive any executor.
     """
     spark = df.sparkSession
-    ship(spark)
+    prepare(spark)
     path = f"{scratch_root(spark)}/{uuid.uuid4().hex}"
     (df.repartition(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -75,7 +84,7 @@ def cores(spark: SparkSession) -> int:
 
 def ids(docs: DataFrame, key: str, *more: str) -> DataFrame:
     """Only the columns an operator reads, whatever else the table carries; rows without a key are left out."""
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(key, *more).where(F.col(key).isNotNull())
 
 

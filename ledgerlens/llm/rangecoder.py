@@ -293,7 +293,10 @@ def write(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
 
 
 def read(blocks: DataFrame) -> DataFrame:
-    """(doc_id, start, tokens): the parts of documents that blocks hold, each block checked."""
+    """(doc_id, start, tokens): the parts of documents that blocks hold, each block checked.
+
+    A repeated block gives its parts again; no blocks give no rows.  A damaged block is an error, others read alone.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():

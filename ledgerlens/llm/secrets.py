@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
-from .common import ids, slices
+from .common import ids, prepare, slices
 
 MIN_SCORE = 0.5
 MASK = "[SECRET]"
@@ -279,6 +278,6 @@ def redact_secrets(docs: DataFrame, text: str = "text", min_score: float = MIN_S
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for t in texts:
             yield pa.array([redact(x, min_score, mask) for x in t.to_pylist()], pa.string())
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     # only suspect texts go to Python; what comes back null is as it was
     return docs.withColumn(text, F.coalesce(F.arrow_udf(run, "string")(F.when(suspect(text), F.col(text))), F.col(text)))

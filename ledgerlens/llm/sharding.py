@@ -50,7 +50,7 @@ def place(docs: DataFrame, names: list[str] | None = None, slots: int = SLOTS, k
     """(doc_id, slot, shard) for each row with an id: where the document goes.
 
     The slot is that of the id's MD5, so it depends neither on the engine nor on the table's other rows; repeated ids go
-    to one shard.  Rows without an id are left out; other columns, the texts too, are never read.  The table's
+    to one shard.  Rows without an id are left out and an empty table gives an empty one; other columns, the texts too, are never read.  The table's
     size is a parameter, so broadcasting it costs the same at any amount of data.
     """
     names = names or shard_names()

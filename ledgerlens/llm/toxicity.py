@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
-from .common import ids, list_array, one_text_per_id, slices, stored
+from .common import ids, list_array, one_text_per_id, prepare, slices, stored
 from .textkernel import words
 
 MAX_LABELLED, K, MIN_G2, MIN_ODDS, MIN_SUPPORT, BLOCK, CUT = 20_000, 15, 15.0, 4.0, 0.01, 64, 0.5
@@ -229,10 +228,14 @@ def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str =
 
 
 def reject(docs: DataFrame, model: dict | None, text: str = "text", cut: float = CUT) -> DataFrame:
-    """The table without its toxic rows, decided row by row on the text alone; all columns as they are."""
+    """The table without its toxic rows, decided row by row on the text alone; all columns as they are.
+
+    Null and empty texts are decided like texts without neighbours, long ones as a whole, repeated rows each; rows
+    without an id stay or go like others.  Without a model, and of an empty table, every row stays.
+    """
     if model is None:
         return docs
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
