@@ -14,12 +14,19 @@ from ledgerlens.llm.common import stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose nearest labelled examples make them toxic go."""
+    """Documents whose nearest labelled examples make them toxic go.
+
+    Null and empty texts are judged like texts without neighbours, long ones whole, repeated rows each.  Without
+    labels of both kinds, and of an empty table, all stay.
+    """
     return toxicity.reject(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, that of the smallest id.
+
+    Null and empty texts are like nothing and stay; of rows that repeat an id one stays; rows without an id stay.
+    """
     return minhash.keep_one(docs)
 
 
