@@ -172,6 +172,6 @@ def text_confidence(x: Column | str) -> Column:
 
 
 def token_estimate(x: Column | str) -> Column:
-    """A quarter of the characters, rounded half to even, at least 1; 0 for blank texts."""
-    x = _c(x)
+    """A quarter of the characters, rounded half to even, at least 1; 0 for null and blank texts."""
+    x = F.coalesce(_c(x), F.lit(""))
     return F.when(strip_ws(x) == "", 0).otherwise(F.greatest(F.lit(1), F.bround(F.length(x) / 4.0, 0).cast("int"))).cast("long")

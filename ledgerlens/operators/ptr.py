@@ -51,8 +51,9 @@ def clean_asset(x: Column, ticker: Column) -> Column:
 def transactions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each transaction that a report's text lists, numbered as they stand there."""
     body = F.regexp_replace(clean_text(text), r"(?i)^.*?\bCap\.\s*Gains\s*>\s*\$200\?\s*", "")
-    groups = [F.regexp_extract_all("_body", F.lit(ROW), F.lit(i + 1)).alias(f) for i, f in enumerate(_FIELDS)]
-    rows = docs.withColumn("_body", body).withColumn("_rows", F.arrays_zip(*groups)).select(*docs.columns, F.posexplode("_rows").alias("_pos", "_r"))
+    # the text is searched once; what each match holds is read off the match alone
+    rows = docs.withColumn("_rows", F.regexp_extract_all(body, F.lit(ROW), F.lit(0))).select(*docs.columns, F.posexplode("_rows").alias("_pos", "_match"))
+    rows = rows.select(*docs.columns, "_pos", F.struct(*(F.regexp_extract("_match", ROW, i + 1).alias(f) for i, f in enumerate(_FIELDS))).alias("_r"))
     r = F.col("_r")
     ticker = F.nullif(r["ticker"], F.lit(""))
     amount = bracket_text(r["amount"])

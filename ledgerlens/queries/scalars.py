@@ -56,12 +56,12 @@ _B = [0, 1_000, 15_000, 50_000, 100_000, 250_000, 500_000, 1_000_000, 5_000_000,
 
 
 def _bracket_sql(end: str) -> str:
-    return "CASE WHEN o_totalprice < 1001 THEN 0 " + " ".join(f"WHEN o_totalprice <= {hi} THEN {lo + 1 if end == 'low' else hi}" for lo, hi in zip(_B[1:], _B[2:])) + f" ELSE {_B[-1] + 1 if end == 'low' else 2 * _B[-1]} END::BIGINT"
+    return "CASE WHEN o_totalprice IS NULL OR o_totalprice < 1001 THEN 0 " + " ".join(f"WHEN o_totalprice <= {hi} THEN {lo + 1 if end == 'low' else hi}" for lo, hi in zip(_B[1:], _B[2:])) + f" ELSE {_B[-1] + 1 if end == 'low' else 2 * _B[-1]} END::BIGINT"
 
 
-@query(f"SELECT o_orderkey, {_bracket_sql('low')} AS low, {_bracket_sql('high')} AS high FROM orders WHERE o_totalprice IS NOT NULL")
+@query(f"SELECT o_orderkey, {_bracket_sql('low')} AS low, {_bracket_sql('high')} AS high FROM orders")
 def q23_amount_bucket(t: Tables) -> DataFrame:
-    return t.orders.where("o_totalprice is not null").select("o_orderkey", bracket("o_totalprice").alias("b")).select("o_orderkey", "b.low", "b.high")
+    return t.orders.select("o_orderkey", bracket("o_totalprice").alias("b")).select("o_orderkey", "b.low", "b.high")
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 3 THEN 0 ELSE floor(o_totalprice)::BIGINT END AS low,
@@ -73,24 +73,24 @@ def q24_parse_amount_text(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", parse_range(text).alias("r")).select("o_orderkey", "r.low", "r.high")
 
 
-@query(rf"SELECT doc_id, CASE WHEN regexp_full_match(text, '({_WS})?') THEN 0 ELSE greatest(1, round_even(length(text) / 4.0, 0)) END::BIGINT AS n FROM documents WHERE text IS NOT NULL")
+@query(rf"SELECT doc_id, CASE WHEN text IS NULL OR regexp_full_match(text, '({_WS})?') THEN 0 ELSE greatest(1, round_even(length(text) / 4.0, 0)) END::BIGINT AS n FROM documents")
 def q25_token_estimate(t: Tables) -> DataFrame:
-    return t.documents.where("text is not null").select("doc_id", token_estimate("text").alias("n"))
+    return t.documents.select("doc_id", token_estimate("text").alias("n"))
 
 
-@query(rf"""WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_WS}'), lambda x: x <> '') AS ws FROM documents WHERE text IS NOT NULL),
+@query(rf"""WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_WS}'), lambda x: x <> '') AS ws FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
 m AS (SELECT *, length(regexp_replace(text, '[^\x20-\x7e\t\n\r\x0b\x0c]', '', 'g')) / length(text) AS printable, list_sum(list_transform(ws, lambda x: length(x))) / len(ws) AS mean,
 list_unique(list_filter(list_transform(ws, lambda x: trim(lower(x), '!"#$%&''()*+,-./:;<=>?@[\]^_`{{|}}~')), lambda x: x IN ('the', 'and', 'of', 'to', 'in', 'a', 'is', 'that', 'for', 'it'))) AS common FROM w)
 SELECT doc_id, CASE WHEN len(ws) = 0 THEN 0 ELSE round(round_even(0.4::DOUBLE * printable + 0.3::DOUBLE * (CASE WHEN mean < 2 THEN mean / 2 WHEN mean > 12 THEN greatest(0.3::DOUBLE, 1 - (mean - 12) / 20) ELSE 1 END) + 0.3::DOUBLE * least(1::DOUBLE, common / 3), 4), 3) END::DOUBLE AS confidence FROM m""")
 def q26_text_confidence(t: Tables) -> DataFrame:
-    return t.documents.where("text is not null").select("doc_id", F.round(text_confidence("text"), 3).alias("confidence"))
+    return t.documents.select("doc_id", F.round(text_confidence("text"), 3).alias("confidence"))
 
 
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS us, strftime(o_orderdate, '%Y-%m-%d') AS feed, strftime(o_orderdate, '%Y-%m-%d') AS compact, strftime(o_orderdate, '%Y-%m-%d') AS stamp,
-CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'about ' || year(o_orderdate) END AS loose FROM orders WHERE o_orderdate IS NOT NULL""")
+CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'about ' || year(o_orderdate) END AS loose FROM orders""")
 def q27_dates(t: Tables) -> DataFrame:
     d, as_ = F.col("o_orderdate"), lambda f: F.date_format("o_orderdate", f)
-    return t.orders.where("o_orderdate is not null").select("o_orderkey", iso_from_us(F.concat(F.lit(" "), as_("M/d/yyyy"))).alias("us"), feed_date(as_("M/d/yyyy")).alias("feed"), senate_date(as_("yyyyMMdd")).alias("compact"),
+    return t.orders.select("o_orderkey", iso_from_us(F.concat(F.lit(" "), as_("M/d/yyyy"))).alias("us"), feed_date(as_("M/d/yyyy")).alias("feed"), senate_date(as_("yyyyMMdd")).alias("compact"),
                                                             senate_date(as_("yyyy-MM-dd'T'HH:mm:ss")).alias("stamp"), fara_date(F.when(F.col("o_orderkey") % 2 == 0, as_("M/d/yyyy")).otherwise(F.concat(F.lit("about "), F.year(d)))).alias("loose"))
 
 
