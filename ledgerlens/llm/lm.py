@@ -17,13 +17,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
-from .common import MAX_BROADCAST_BYTES, ids, offsets, slices, stored
+from .common import MAX_BROADCAST_BYTES, ids, offsets, prepare, slices, stored
 
 ORDER, DISCOUNT = 5, 0.75
 BITS, END, SYMBOLS = 9, 257, 257  # symbols: 0 pads before a text, 1 to 256 bytes, 257 its end; 257 can be predicted
 SEGMENT = 512
 ARC_BYTES = 40  # of an arc in a worker
+GROUP_BYTES = 32 << 20  # of texts read by an automaton of their own
 
 
 def _mask(k: int) -> int:
@@ -77,7 +77,7 @@ def estimate(docs: DataFrame, text: str = "text", order: int = ORDER, discount:
 
     Counts are of all texts; each partition combines its own before anything is shuffled.  Null texts don't count.
     """
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     counts = stored(docs.select(F.col(text).alias("text")).where("text is not null").mapInArrow(_count(order), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
     lower, arcs, failures = None, [], []
     for k in range(1, order + 1):
@@ -208,32 +208,70 @@ def _read(shared):
     return run
 
 
-def _bag(order: int):
+def _grouped(most: int):
+    """(doc_id, text, grp): texts of a partition in groups of about ``most`` bytes, in their order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, most=4 << 20):
-            s, begin, end = symbols(b.column(1), order)
-            row = np.repeat(np.arange(b.num_rows), end - begin)
-            code = ngrams(s, order)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(code)], ["id", "code"])
+        held = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            end = held + np.cumsum(np.diff(offsets(b.column(1))))
+            group = (b.column(2).to_numpy().astype(np.int64) << 32) | (np.append(held, end[:-1]) // most)
+            held = int(end[-1])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(group)], ["doc_id", "text", "grp"])
+    return run
+
+
+def _met(order: int):
+    """(grp, code): the n-grams of a group's texts, each once a run of rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, np.zeros(0, np.int64)
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(held), group)), pa.array(held)], ["grp", "code"])
+        for b in slices(batches, "text", 4 << 20):
+            own = b.column(0).to_numpy()
+            cut = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)]])
+            for i, j in zip(cut.tolist(), cut[1:].tolist()):
+                if own[i] != group and len(held):
+                    yield out()
+                    held = held[:0]
+                group = own[i]
+                held = np.union1d(held, ngrams(symbols(b.column(1).slice(i, j - i), order)[0], order))
+        if len(held):
+            yield out()
     return run
 
 
-def by_joins(d: DataFrame, arcs: DataFrame, failures: DataFrame, order: int) -> DataFrame:
-    """(doc_id, logp) as the automaton gives it, by joins of the texts' n-grams with the model's tables."""
-    rows = d.mapInArrow(_bag(order), "id long, code long").groupBy("id", "code").count().withColumn("w", F.lit(0.0))
-    done = None
-    for k in range(order, 0, -1):
-        arc = arcs.where(F.col("k") == k).select("code", "logp")
-        got = rows.join(arc, "code", "left")
-        if k == 1:  # the root knows every symbol
-            got = got.crossJoin(failures.where("k = 1").select((F.col("logw") - F.log(F.lit(float(SYMBOLS)))).alias("unseen"))).withColumn("logp", F.coalesce("logp", "unseen"))
-        hit = got.where("logp is not null").select("id", (F.col("count") * (F.col("w") + F.col("logp"))).alias("x"))
-        done = hit if done is None else done.unionByName(hit)
-        if k > 1:
-            fail = failures.where(F.col("k") == k).select("context", "logw")
-            rows = (got.where("logp is null").withColumn("context", F.shiftright("code", BITS)).join(fail, "context", "left")
-                    .select("id", F.col("code").bitwiseAND(_mask(k - 1)).alias("code"), "count", (F.col("w") + F.coalesce("logw", F.lit(0.0))).alias("w")))
-    return done.groupBy(F.col("id").alias("doc_id")).agg(F.sum("x").alias("logp"))
+def by_groups(d: DataFrame, arcs: DataFrame, failures: DataFrame, order: int, most: int = GROUP_BYTES) -> DataFrame:
+    """(doc_id, bytes, logp) by one automaton for each group of texts, of the states and arcs that these texts meet.
+
+    A group's n-grams, each once, meet the model's tables; its automaton then reads its texts as the whole one would:
+    every context that precedes a symbol of the texts is a state of it, with all shorter ones.
+    """
+    rows = stored(d.where("text is not null").withColumn("pid", F.spark_partition_id()).mapInArrow(_grouped(most), "doc_id long, text string, grp long"))
+    met = stored(rows.select("grp", "text").mapInArrow(_met(order), "grp long, code long").distinct())
+    parts = []
+    for k in range(1, order + 1):
+        code = met.select("grp", F.col("code").bitwiseAND(_mask(k)).alias("code")).distinct() if k < order else met
+        parts.append(code.join(arcs.where(F.col("k") == k).select("code", "logp"), "code").select("grp", F.lit(True).alias("arc"), F.lit(k).alias("k"), "code", "logp"))
+        context = code.select("grp", F.shiftright("code", BITS).alias("code")).distinct()
+        parts.append(context.join(failures.where(F.col("k") == k).select(F.col("context").alias("code"), F.col("logw").alias("logp")), "code").select("grp", F.lit(False).alias("arc"), F.lit(k).alias("k"), "code", "logp"))
+    model = parts[0]
+    for p in parts[1:]:
+        model = model.unionByName(p)
+
+    def read(texts: pa.Table, held: pa.Table) -> pa.Table:
+        arc = held["arc"].to_numpy()
+        k, code, logp = (held[c].to_numpy() for c in ("k", "code", "logp"))
+        a = Automaton(k[arc].astype(np.int64), code[arc], logp[arc], k[~arc].astype(np.int64), code[~arc], logp[~arc], order)
+        got = [(np.zeros(0, np.int64), np.zeros(0))]
+        for b in slices(iter(texts.select(["text"]).combine_chunks().to_batches()), "text", 4 << 20):
+            s, begin, end = symbols(b.column(0), order)
+            got.append((end - begin - 1, a.read(s, begin, end)))
+        n, logp = (np.concatenate(c) for c in zip(*got))
+        return pa.table({"doc_id": texts["doc_id"], "bytes": pa.array(n), "logp": pa.array(logp)})
+    return rows.groupBy("grp").cogroup(stored(model).groupBy("grp")).applyInArrow(read, "doc_id long, bytes long, logp double")
 
 
 def compiled(arcs: DataFrame, failures: DataFrame, order: int = ORDER) -> Automaton:
@@ -241,13 +279,14 @@ def compiled(arcs: DataFrame, failures: DataFrame, order: int = ORDER) -> Automa
     return Automaton(*(a[c].to_numpy() for c in ("k", "code", "logp")), *(f[c].to_numpy() for c in ("k", "context", "logw")), order)
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, discount: float = DISCOUNT, most_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, discount: float = DISCOUNT, most_bytes: int = MAX_BROADCAST_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, bytes, logp, bits_per_byte) for each row, by the model of all texts of ``docs``.
 
     logp is natural and includes the end symbol; bits_per_byte is per symbol read, the end included.  An empty
     text is just its end; a null text has null scores.  Repeated rows are scored each, and count each; rows
-    without an id count but get no score; other columns are never read.  The automaton goes to the workers if its
-    counted arcs fit ``most_bytes``; beyond, the same sums come from shuffled joins with the model's tables.
+    without an id count but get no score; an empty table gives an empty one; other columns are never read.  The
+    automaton goes to the workers if its counted arcs fit ``most_bytes``; beyond, each group of texts gets the part of
+    it that its texts meet, and is read in the same way.
     """
     arcs, failures = estimate(docs, text, order, discount)
     d = ids(docs, key, text).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -258,7 +297,6 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
         shared = docs.sparkSession.sparkContext.broadcast(compiled(arcs, failures, order))
         scored = d.mapInArrow(_read(shared), "doc_id long, bytes long, logp double")
     else:
-        keyed = stored(d.withColumn("row", F.monotonically_increasing_id()))
-        sums = by_joins(keyed.where("text is not null").select(F.col("row").alias("id"), "text"), arcs, failures, order)
-        scored = keyed.join(sums.withColumnRenamed("doc_id", "row"), "row", "left").select("doc_id", F.octet_length("text").cast("long").alias("bytes"), "logp")
+        none = d.where("text is null").select("doc_id", F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("double").alias("logp"))
+        scored = by_groups(d, arcs, failures, order, group_bytes).unionByName(none)
     return scored.select("doc_id", "bytes", F.round("logp", 6).alias("logp"), F.round(-F.col("logp") / (F.col("bytes") + 1) / np.log(2.0), 6).alias("bits_per_byte"))

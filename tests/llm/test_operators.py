@@ -43,6 +43,51 @@ def test_awkward_tables(spark, odd, name):
         assert None not in got["doc_id"].to_pylist()
 
 
+def test_awkward_results(spark, odd):
+    """What each operator gives for null, empty, long, repeated and tied texts, in full."""
+    rows = lambda df, *c: sorted((tuple(r[x] for x in c) for r in df.collect()), key=str)
+    long = sum(len(x) + 1 for x in prose(1, 60_000).split()) - 1
+    got = {r[0]: r[1:] for r in rows(lm.score(odd), "doc_id", "bytes", "logp")}
+    assert got[3] == (None, None) and got[2][0] == 0 and got[2][1] < 0 and got[4][0] == long and lm.score(odd).where("doc_id = 1").count() == 2
+    b = bpe.encode(odd)
+    got = {r[0]: r[1:] for r in rows(b, "doc_id", "n_tokens", "exact", "tokens")}
+    assert got[3] == (None, None, None) and got[2] == (0, True, []) and all(v[1] for k, v in got.items() if k != 3) and b.where("doc_id = 1").count() == 2
+    assert rows(bpe.decode(b.union(b.where("doc_id = 2"))).where("doc_id in (1, 2, 3, 8)"), "doc_id", "text") == [(1, "the cat sat")] * 2 + [(2, "")] * 2 + [(3, None), (8, "日本語 текст \U0001f600")]
+    assert bpe.decode(b.where("false")).count() == 0
+    got = imatch.fingerprints(odd)
+    assert rows(got.where("n_terms = 0"), "doc_id", "fp_all", "fp_1") == [(2, None, None), (3, None, None), (6, None, None)] and len({r["fp_all"] for r in got.where("doc_id = 1").collect()}) == 1 and got.count() == 9
+    group = {r[0]: r[1:] for r in rows(minhash.near_duplicates(odd), "doc_id", "group_id", "kept")}
+    assert group == {i: (4, False) if i == 5 else (i, True) for i in range(1, 9)}
+    held: Counter = Counter()
+    for r in packing.pack(odd).collect():
+        held[r["doc_id"]] += r["end"] - r["start"]
+    assert held == Counter({1: 3, 4: 60_000, 5: 60_001, 7: 2, 8: 5})
+    blocks = rangecoder.write(odd)
+    parts = Counter(r["doc_id"] for r in rangecoder.read(blocks.union(blocks.where("false"))).where("start = 0").collect())
+    assert parts == Counter({1: 2, 4: 1, 5: 1, 6: 1, 7: 1, 8: 1}) and rangecoder.read(blocks.where("false")).count() == 0
+    shard = rows(sharding.place(odd), "doc_id", "shard")
+    assert len(shard) == 9 and shard[0] == shard[1]
+    assert rows(secrets.find_secrets(odd), "doc_id", "name", "length") == [(7, "password", 10)]
+    kept = secrets.redact_secrets(odd)
+    assert kept.count() == 11 and kept.where("text is null").count() == 2 and kept.where("doc_id = 7").first()["text"] == 'password = "[SECRET]"'
+
+
+def test_toxicity_with_a_model_on_awkward_tables(spark, odd):
+    bad = [(100 + i, f"vile rotten scum {prose(i, 30)}", None, None, None) for i in range(30)]
+    good = [(200 + i, prose(300 + i, 30), None, None, None) for i in range(60)]
+    docs = odd.unionByName(spark.createDataFrame(bad + good, SCHEMA)).selectExpr("*", "1 AS id", "2 AS toxic", "3 AS toxicity")
+    labels = spark.createDataFrame([(r[0], 1) for r in bad] * 2 + [(r[0], 0) for r in good] + [(None, 1), (4, None), (1, 0), (3, 0), (999, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = toxicity.score(docs, model)
+    told = {r["doc_id"]: r for r in got.collect()}
+    assert got.count() == 9 + 90 and all(told[r[0]]["toxic"] for r in bad) and not any(told[i]["toxic"] for i in [*range(1, 9), *(r[0] for r in good)])
+    assert told[3]["neighbours"] == [] == told[2]["neighbours"] and told[3]["toxicity"] == told[2]["toxicity"] and len(told[100]["neighbours"]) == toxicity.K
+    left = toxicity.reject(docs, model)
+    assert left.columns == docs.columns and left.count() == 11 + 60 and left.where("doc_id is null").count() == 2
+    assert toxicity.score(docs.where("false"), model).count() == 0 and toxicity.reject(docs.where("false"), model).count() == 0
+    assert toxicity.fit(docs, labels.where("false")) is None and toxicity.fit(docs.where("false"), labels) is None
+
+
 def test_words_have_the_hash_of_plain_python():
     texts = pa.array(["The cat, the DOG_1", None, "", "naïve 日本"])
     h, first = words(texts)
@@ -66,11 +111,18 @@ def test_lm_equals_interpolated_probabilities_and_joins(spark):
         total = sum(seen.values())
         return low if not total else max(count[k][gram] - d, 0) / total + d * len(seen) / total * low
     want = [sum(math.log(p(tuple(s[i - order + 1 : i + 1]))) for i in range(order - 1, len(s))) for s in seqs]
-    for most in (1 << 28, 0):  # the automaton, and the joins beyond its size
-        got = {r["doc_id"]: r["logp"] for r in lm.score(docs, order=order, most_bytes=most).collect()}
+    for most, group in ((1 << 28, 1), (0, 1 << 20), (0, 12), (0, 1)):  # the whole automaton, and parts for groups of texts
+        got = {r["doc_id"]: r["logp"] for r in lm.score(docs, order=order, most_bytes=most, group_bytes=group).collect()}
         assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-5)
 
 
+def test_lm_parts_equal_the_whole_on_awkward_texts(spark, odd):
+    a, b = (sorted(map(tuple, lm.score(odd, most_bytes=m, group_bytes=100_000).collect()), key=str) for m in (1 << 28, 0))
+    assert len(a) == len(b) == 9 and [x[:2] for x in a] == [x[:2] for x in b]
+    assert all((x[2] is None) == (y[2] is None) and (x[2] is None or abs(x[2] - y[2]) < 1e-3) for x, y in zip(a, b))
+    assert lm.score(odd.where("false"), most_bytes=0).count() == 0
+
+
 def test_bpe_equals_a_public_encoder_and_edits(spark):
     import tiktoken
 
@@ -251,9 +303,10 @@ def test_range_coder_round_trip(spark):
 
 
 def test_imatch_joins_equal_the_broadcast(spark):
-    docs = spark.createDataFrame([(i, prose(i % 12, 40)) for i in range(40)] + [(99, None), (98, "")], "doc_id long, text string")
+    others = ["नमस्ते दुनिया नमस्ते", "İstanbul x Straße", "e\u0301te\u0301 cafe\u0301 déjà", "ΑΣ ς ²½ _a_"]
+    docs = spark.createDataFrame([(i, prose(i % 12, 40)) for i in range(40)] + [(99, None), (98, "")] + [(100 + i, others[i % 4]) for i in range(8)], "doc_id long, text string")
     a, b = (sorted(map(tuple, imatch.fingerprints(docs, most_bytes=m).collect()), key=str) for m in (1 << 20, 0))
-    assert a == b and any(x[2] for x in a)
+    assert a == b and all(x[2] for x in a if x[0] < 40 or x[0] >= 100)
 
 
 def test_sharding_fills_evenly():
@@ -435,3 +488,18 @@ def test_pipeline_stages(spark, sf_dir, odd):
     assert sum(r["doc_id"] is None for r in kept) == 2 and sorted(r["doc_id"] for r in kept if r["doc_id"]) == [1, 2, 3, 4, 6, 7, 8]
     assert "hunter2Xq9" not in next(r["text"] for r in kept if r["doc_id"] == 7)
     assert c.run(spark, sf_dir).count() > 0
+
+
+def test_pipeline_on_empty_tables_and_clashing_columns(spark, odd, tmp_path):
+    import corpus_pipeline as c
+    from ledgerlens.llm.common import stored
+
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert c.run(spark, str(tmp_path)).count() == 0
+    docs = odd.selectExpr("*", "1 AS _row", "2 AS _drop", "3 AS component", "map('a', 1) AS `key`")
+    want = docs.columns
+    for _, stage in c.STAGES[:-1]:
+        docs = stored(stage(spark, docs, str(tmp_path)))
+        assert docs.columns == want
+    assert c.STAGES[-1][1](spark, docs, str(tmp_path)).select("doc_id").distinct().count() == 4
