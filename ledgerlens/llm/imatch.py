@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
-from .common import MAX_BROADCAST_BYTES, ids, stored
+from .common import MAX_BROADCAST_BYTES, ids, prepare, slices, stored
 
 MIN_SHARE, MAX_SHARE, SUBSETS, KEEP = 0.001, 0.5, 5, "b"  # a term is in a subset if a hash digit is below KEEP: 11 of 16
 FLUSH = 300_000
@@ -38,7 +37,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "df"])
         seen.clear()
         return b
-    for b in batches:
+    for b in slices(batches):
         for t in b.column(0).to_pylist():
             n += 1
             if t:
@@ -55,8 +54,8 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = MIN_SHARE, high: f
 
     As no more than (mean terms a text) / low terms can reach ``low``, its size doesn't grow with the number of texts.
     """
-    ship(docs.sparkSession)
-    df = stored(docs.select(text).mapInArrow(_frequencies, "term string, df long").groupBy("term").agg(F.sum("df").alias("df")))
+    prepare(docs.sparkSession)
+    df = stored(docs.select(F.col(text).alias("text")).mapInArrow(_frequencies, "term string, df long").groupBy("term").agg(F.sum("df").alias("df")))
     n = df.where("term = ''").agg(F.sum("df")).first()[0] or 0
     return df.where((F.col("term") != "") & (F.col("df") >= n * low) & (F.col("df") <= n * high))
 
@@ -65,10 +64,17 @@ def digest(chosen: list[str]) -> str | None:
     return hashlib.md5(" ".join(sorted(chosen)).encode()).hexdigest() if chosen else None
 
 
+def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, term): each text's distinct terms, as they are found everywhere here."""
+    for b in slices(batches):
+        found = [(i, x) for i, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist()) if t for x in set(terms(t.lower()))]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([x for _, x in found], pa.string())], ["row", "term"])
+
+
 def _print(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         within = shared.value
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for t in b.column(1).to_pylist():
                 held = sorted(within.keys() & set(terms(t.lower()))) if t else []
@@ -93,8 +99,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", low:
         within = {t: sum(x << i for i, x in enumerate(subsets(t))) for t in words.select("term").toArrow()["term"].to_pylist()}
         shared = docs.sparkSession.sparkContext.broadcast(within)
         return d.mapInArrow(_print(shared), "doc_id long, n_terms long, " + ", ".join(f"{c} string" for c in COLUMNS))
-    rows = stored(d.withColumn("row", F.monotonically_increasing_id()))
-    held = rows.select("row", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), 1))).alias("term")).join(words.select("term"), "term", "left_semi")
+    rows = stored(d.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
+    held = rows.mapInArrow(_distinct_terms, "row long, term string").join(words.select("term"), "term", "left_semi")
     pick = [F.lit(True), *(F.substring(F.md5(F.concat(F.lit(f"{i}:"), F.col("term"))), 1, 1) < KEEP for i in range(1, SUBSETS + 1))]
     got = held.groupBy("row").agg(F.count("*").alias("n"), *(F.sort_array(F.collect_list(F.when(p, F.col("term")))).alias(c) for p, c in zip(pick, COLUMNS)))
     return rows.select("row", "doc_id").join(got, "row", "left").select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_terms"), *(F.when(F.size(c) > 0, F.md5(F.concat_ws(" ", c))).alias(c) for c in COLUMNS))
