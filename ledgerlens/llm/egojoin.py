@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import ids, stored
 from .graph import components
 
-THRESHOLD, AXES, BLOCK, MOST_BLOCKS = 0.95, 8, 1024, 1_000_000
+THRESHOLD, AXES, BLOCK, TILE, MOST_BLOCKS = 0.95, 8, 1024, 16, 1_000_000
 SLACK = 1e-5  # float32 rounding may not lose a pair
 
 
@@ -114,21 +114,30 @@ def block_pairs(low: np.ndarray, high: np.ndarray, mine: np.ndarray, eps: float)
     return tuple(np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else ([], [])))
 
 
-def _join(dim: int, threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _join(dim: int, threshold: float, eps: float, boxes):
+    """Of a tile's blocks, those in the first interval against those in the second, where their boxes are near."""
+    def run(table: pa.Table) -> pa.Table:
         from .graph import _label
 
-        for b in batches:
-            for r in b.to_pylist():
-                x, y = (np.frombuffer(r[c], np.float32).reshape(-1, dim) for c in ("va", "vb"))
-                i, j = (np.frombuffer(r[c], np.int64) for c in ("ia", "ib"))
+        low, high = boxes.value
+        block, one, two = table["block"].to_numpy(), table["one"][0].as_py(), table["two"][0].as_py()
+        vectors = {k: np.frombuffer(v, np.float32).reshape(-1, dim) for k, v in zip(block.tolist(), table["vectors"].to_pylist())}
+        own = {k: np.frombuffer(v, np.int64) for k, v in zip(block.tolist(), table["ids"].to_pylist())}
+        first, second = np.sort(block[block // TILE == one]), np.sort(block[block // TILE == two])
+        ends = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for a in first.tolist():
+            mine = second[second >= a]
+            gap = np.maximum(0, np.maximum(low[mine] - high[a], low[a] - high[mine]))
+            for b in mine[(gap * gap).sum(1) <= (eps + SLACK) ** 2].tolist():
+                x, y = vectors[a], vectors[b]
                 src, dst = np.nonzero(x @ y.T >= threshold - SLACK)
                 exact = np.einsum("ij,ij->i", x[src].astype(np.float64), y[dst].astype(np.float64)).round(6) >= threshold
-                src, dst = i[src[exact]], j[dst[exact]]
-                src, dst = src[src != dst], dst[src != dst]
-                if len(src):  # only what connects: each vector with the smallest id that it is tied to here
-                    for e in _label(iter([pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], ["src", "dst"])])):
-                        yield pa.RecordBatch.from_arrays(e.columns, ["src", "dst"])
+                src, dst = own[a][src[exact]], own[b][dst[exact]]
+                ends.append((src[src != dst], dst[src != dst]))
+        src, dst = (np.concatenate(e) for e in zip(*ends))
+        got = list(_label(iter([pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], ["src", "dst"])]))) if len(src) else []
+        # only what connects: each vector with the smallest id that it is tied to here
+        return pa.Table.from_batches(got).rename_columns(["src", "dst"]) if got else pa.table({"src": src, "dst": dst})
     return run
 
 
@@ -157,12 +166,12 @@ def near_edges(vectors: DataFrame, key: str, column: str, threshold: float, axes
         for b in batches:
             x, y = block_pairs(*shared.value, np.sort(b.column(0).to_numpy()), eps)
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
-    near = spark.range(len(low), numPartitions=min(len(low), 64)).mapInArrow(pairs, "a long, b long")
+    near = spark.range(len(low), numPartitions=max(1, -(-len(low) // 256))).mapInArrow(pairs, "a long, b long")
+    # a block travels once to each tile of TILE by TILE blocks that has a near pair of it
+    tile = [F.floor(F.col(c) / TILE) for c in ("a", "b")]
+    needed = near.select(tile[0].alias("one"), tile[1].alias("two"), F.explode(F.array("a", "b")).alias("block")).distinct()
     named = blocks.join(spark.createDataFrame(pa.table({"block": np.arange(len(low)), "one": boxes["one"]})), F.substring("ids", 1, 8) == F.col("one")).select("block", "ids", "vectors")
-    whole = stored(named)
-    a, b = whole.toDF("a", "ia", "va"), whole.toDF("b", "ib", "vb")
-    both = near.join(a, "a").join(b, "b").select("ia", "va", "ib", "vb")
-    return both.mapInArrow(_join(dim, threshold), "src long, dst long")
+    return needed.join(stored(named), "block").groupBy("one", "two").applyInArrow(_join(dim, threshold, eps, shared), "src long, dst long")
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", threshold: float = THRESHOLD, axes: int = AXES, rows: int = BLOCK) -> DataFrame:
