@@ -17,8 +17,8 @@ _PLAIN = ["".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.cate
 _PAIRS = [(a, p) for a, p in zip(_ACCENTED, _PLAIN) if len(p) == 1]
 TITLES = ["hon", "representative", "rep", "senator", "sen"]
 SUFFIXES = ["jr", "sr", "ii", "iii", "iv"]
-CORPORATE = ["incorporated", "corporation", "company", "holdings", "holding", "limited", "group", "corp", "inc", "llc", "ltd", "plc", "co", "lp", "nv", "sa", "ag"]
-GENERIC = ["the", "and", "of", "services", "international", "global", "technologies", "technology", "systems", "solutions", "usa", "us", "america", "american"]
+CORPORATE = "incorporated inc corp corporation co company limited ltd llc lp plc holdings holding group".split()
+GENERIC = "and the holdings holding group technologies technology systems system".split()
 
 
 def _c(x: Column | str) -> Column:
@@ -138,24 +138,60 @@ def name_variants(x: Column | str) -> Column:
     return distinct_ignoring_case(F.filter(clean, lambda v: v != ""))
 
 
+_SECURITY = r"(?i)\b(?:common stock|common|ordinary shares|(?:class|series) [a-z0-9-]+)\b.*$"
+_BRACKETS = r"\s*\((?:NASDAQ|NYSE|AMEX|OTC|CRYPTO:[A-Z]+|[A-Z.]{1,10})\)\s*$"
+
+
+def _without_security(x: Column) -> Column:
+    """A label up to the kind of security, without the ticker or exchange that ends it in brackets."""
+    x = F.regexp_replace(F.regexp_replace(x, _SECURITY, ""), "^[ -]+|[ -]+$", "")
+    return strip_ws(F.regexp_replace(x, _BRACKETS, ""))
+
+
 def company_query(x: Column | str, ticker: Column | str | None = None) -> Column:
     """What to search a company by, from a noisy asset label; null if nothing is left.
 
-    Amounts before and account names in front of the company go, as do the ticker or exchange in brackets, the kind
-    of security, and what a table's columns or lines put before the name.
+    An amount before and account names in front of the company go, as do the ticker or exchange in brackets, the kind
+    of security, and what a table's columns put before the name; of several lines the last telling one counts.
     """
     raw = blank_to_null(x)
-    security = r"(?i)\s*[-–,]?\s*(?:class [a-z]|common stock|common shares|ordinary shares|preferred stock|depositary shares|adr|american depositary (?:shares|receipts))(?:\s*\(?[^)]*\)?)?\s*$"
-    last_line = F.element_at(F.filter(F.split(raw, r"[\r\n]+"), lambda s: (F.length(strip_ws(s)) > 2) & ~F.lower(strip_ws(s)).startswith("direction.") & ~F.lower(s).contains("portfolio rebalance")), -1)
-    t = F.when(raw.rlike(r"[\r\n]"), F.coalesce(last_line, raw)).otherwise(raw)
-    t = strip_ws(F.regexp_replace(F.regexp_replace(unescape(t), r"[ \t]", " "), r"^\s*\$[\d,.]+\s*(?:-\s*\$[\d,.]+)?", ""))
+    sign = F.upper(_c(ticker)) if ticker is not None else F.lit(None).cast("string")
+    t = strip_ws(F.regexp_replace(F.regexp_replace(unescape(raw), r"[\r\n\t]+", " "), r"\x{00a0}", " "))
+    t = strip_ws(F.regexp_replace(t, r"^\$[\d,\s.-]+\s+", ""))
     t = strip_ws(F.element_at(F.split(t, ">"), -1))
     t = F.when(t.rlike(r"(?i)\b(?:trust|brokerage|account|401\(k\)|ira|retirement)\b") & t.contains(") "), strip_ws(F.element_at(F.split(t, r"\) "), -1))).otherwise(t)
-    brackets = F.concat(F.lit(r"(?i)\s+\((?:\Q"), F.upper(F.coalesce(_c(ticker) if ticker is not None else F.lit(None).cast("string"), F.lit("NYSE"))), F.lit(r"\E|NASDAQ|NYSE|AMEX|OTC)\)\s*$"))
-    t = F.regexp_replace(t, brackets, F.lit(""))
-    t = strip_ws(F.element_at(F.filter(F.split(t, r"\s{2,}"), lambda s: strip_ws(s) != ""), -1))
-    t = F.regexp_replace(F.regexp_replace(t, security, ""), r"\s*\([^)]*\)\s*$", "")
-    return F.nullif(F.regexp_replace(squeeze(t), r"^[ ,.-]+|[ ,.-]+$", ""), F.lit(""))
+    named = F.concat(F.lit(r"(?i)(?<=\S)\s+\((?:\Q"), sign, F.lit(r"\E|NASDAQ|NYSE|AMEX|OTC)\)\s*$"))
+    t = F.when(F.coalesce(sign, F.lit("")) != "", F.regexp_replace(t, named, F.lit(""))).otherwise(t)
+    t = F.coalesce(F.element_at(F.filter(F.transform(F.split(t, r"\s{2,}"), strip_ws), lambda v: v != ""), -1), t)
+
+    def line(v: Column) -> Column:
+        own = F.concat(F.lit("("), F.coalesce(F.nullif(sign, F.lit("")), F.lit("\n")), F.lit(")"))
+        return _without_security(F.when(F.upper(v).contains(own), F.regexp_replace(v, r"\([^(]*$", "")).otherwise(v))
+    lines = F.filter(F.transform(F.split(raw, r"[\r\n]+"), lambda v: strip_ws(F.regexp_replace(v, r"\t+", " "))), lambda v: F.length(v) > 2)
+    told = F.filter(F.transform(lines, line), lambda v: (v != "") & ~F.lower(v).startswith("direction.") & ~F.lower(v).contains("portfolio rebalance"))
+    t = F.when(raw.rlike(r"[\r\n]"), F.coalesce(F.element_at(told, -1), t)).otherwise(t)
+    return F.nullif(F.regexp_replace(squeeze(_without_security(t)), r"^[ ,.-]+|[ ,.-]+$", ""), F.lit(""))
+
+
+#: Names that large companies win contracts under: ticker, key of the name, names.
+ALIASES = [("AVGO", "BROADCOM", "AVAGO TECHNOLOGIES;CA, INC.;VMWARE"), ("CVS", "CVS HEALTH", "CVS PHARMACY;CAREMARK;MINUTECLINIC;CORAM"), ("JNJ", "JOHNSON JOHNSON", "JANSSEN;ETHICON;DEPUY"), ("JPM", "JPMORGAN CHASE", "JPMORGAN CHASE BANK;J. P. MORGAN;JPMORGAN"),
+           ("MRK", "MERCK", "MERCK SHARP;MERCK SHARP & DOHME;MSD"), ("ORCL", "ORACLE", "ORACLE AMERICA;ORACLE USA;ORACLE CORPORATION"), ("T", "AT T", "AT&T;AT&T CORP;AT&T SERVICES"), ("UNH", "UNITEDHEALTH", "OPTUM;UNITED HEALTHCARE;OPTUMSERVE;LEWIN GROUP"), ("VZ", "VERIZON", "VERIZON BUSINESS;CELLCO PARTNERSHIP;VERIZON WIRELESS")]
+
+
+def company_queries(name: Column | str, asset: Column | str | None = None, ticker: Column | str | None = None) -> Column:
+    """All that a company is searched by, in order: spellings of its cleaned labels, of these without legal forms, and known other names."""
+    none = F.array().cast("array<string>")
+    parts = []
+    for x in (asset, name):
+        if x is not None:
+            q = company_query(x, ticker)
+            bare = strip_corporate(q)
+            parts += [F.when(q.isNotNull(), name_variants(q)), F.when(F.lower(bare) != F.lower(q), name_variants(bare))]
+    known = lambda at, key: F.create_map(*(v for a in ALIASES for v in (F.lit(a[at]), F.array(*map(F.lit, a[2].split(";"))))))[key]
+    if ticker is not None:
+        parts.append(known(0, F.upper(_c(ticker))))
+    parts.append(known(1, alias_key(name)))
+    return distinct_ignoring_case(F.flatten(F.array(*(F.coalesce(p, none) for p in parts))))
 
 
 def text_confidence(x: Column | str) -> Column:

@@ -45,12 +45,24 @@ def parse(query: str) -> tuple[list[list[list[str]]], list[list[str]]]:
     return [g for g in groups if g], excluded
 
 
+def _equal_to(word: str):
+    return lambda t: t == word  # a second parameter would be the element's position
+
+
+def _marked(k: int):
+    return lambda i: F.struct(i.alias("at"), F.lit(k).alias("of"))
+
+
+def _followed(other: Column, k: int):
+    return lambda at: F.array_contains(other, at + k)
+
+
 def occurrences(toks: Column, phrase: list[str]) -> Column:
     """Positions at which the phrase begins."""
     same = F.transform(toks, lambda t: t == phrase[0])
     for k, word in enumerate(phrase[1:], 1):
         rest = F.slice(toks, F.lit(k + 1), F.greatest(F.size(toks), F.lit(0)))
-        same = F.zip_with(same, F.transform(rest, lambda t, w=word: t == w), lambda x, y: F.coalesce(x & y, F.lit(False)))
+        same = F.zip_with(same, F.transform(rest, _equal_to(word)), lambda x, y: F.coalesce(x & y, F.lit(False)))
     return F.filter(F.transform(same, lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
 
 
@@ -58,7 +70,7 @@ def cover_density(positions: list[Column]) -> Column:
     """Sum over minimal covers of 1 / (1 + words between): short stretches that hold every phrase count most."""
     if len(positions) == 1:
         return F.size(positions[0]).cast("double")
-    marks = F.array_sort(F.concat(*(F.transform(p, lambda i, k=k: F.struct(i.alias("at"), F.lit(k).alias("of"))) for k, p in enumerate(positions))))
+    marks = F.array_sort(F.concat(*(F.transform(p, _marked(k)) for k, p in enumerate(positions))))
     n, none = len(positions), F.lit(-1)
     start = F.struct(F.array_repeat(none, n).alias("last"), F.lit(-1).alias("from"), F.lit(0.0).alias("sum"))
 
@@ -127,3 +139,49 @@ def hybrid(chunks: DataFrame, query: str, vector: list[float] | None, limit: int
     cand = cand.withColumn("combined_score", F.round(LEXICAL * F.col("lexical_score") + SEMANTIC * s, 6))
     top = cand.orderBy(F.desc_nulls_first("combined_score"), key).limit(max(1, limit))
     return top.select(key, "lexical_score", F.coalesce("_s", F.lit(0.0)).alias("semantic_score"), F.coalesce("combined_score", F.lit(0.0)).alias("combined_score"))
+
+
+def inverted(texts: DataFrame, key: str = "chunk_id", text: str = "content") -> DataFrame:
+    """(term, key, positions): where each stemmed term stands in each text, in order; stop words aren't listed.
+
+    Written once, partitioned or bucketed by term, it answers queries without a look at the texts.
+    """
+    each = texts.select(key, F.posexplode(tokens(text)).alias("_at", "term")).where("term <> ''")
+    return each.groupBy("term", key).agg(F.array_sort(F.collect_list("_at")).alias("positions"))
+
+
+def indexed(postings: DataFrame, query: str, limit: int | None = None, key: str = "chunk_id") -> DataFrame:
+    """(key, lexical_score): what ``lexical`` finds, out of an inverted table, of which only the query's terms are read."""
+    groups, excluded = parse(query)
+    terms = sorted({w for g in [*groups, excluded] for p in g for w in p})
+    if not groups:
+        return postings.select(key, F.lit(0.0).alias("lexical_score")).where("false")
+    none = F.array().cast("array<int>")
+    held = postings.where(F.col("term").isin(terms)).groupBy(key).agg(*(F.coalesce(F.first(F.when(F.col("term") == w, F.col("positions")), ignorenulls=True), none).alias(f"t{i}") for i, w in enumerate(terms)))
+
+    def begins(phrase: list[str]) -> Column:
+        first, *rest = (F.col(f"t{terms.index(w)}") for w in phrase)
+        for k, other in enumerate(rest, 1):
+            first = F.filter(first, _followed(other, k))
+        return first
+    phrases = [p for g in groups for p in g] + excluded
+    held = held.select(key, *(begins(p).alias(f"p{i}") for i, p in enumerate(phrases)))
+    score, hit, i = F.lit(0.0), F.lit(False), 0
+    for g in groups:
+        found, i = [F.col(f"p{k}") for k in range(i, i + len(g))], i + len(g)
+        ok = F.lit(True)
+        for f in found:
+            ok &= F.size(f) > 0
+        hit |= ok
+        score = score + F.when(ok, cover_density(found)).otherwise(0.0)
+    for k in range(len(excluded)):
+        hit &= F.size(f"p{i + k}") == 0
+    out = held.where(hit).select(key, score.alias("lexical_score"))
+    return out.orderBy(F.desc("lexical_score"), key).limit(max(1, limit)) if limit is not None else out
+
+
+def with_documents(chunk_scores: DataFrame, document_scores: DataFrame, chunks: DataFrame, limit: int, key: str = "chunk_id", parent: str = "document_id") -> DataFrame:
+    """(key, lexical_score): a chunk's own score and its document's, summed; a hit of either is enough."""
+    own, whole = chunk_scores.select(key, F.col("lexical_score").alias("_own")), document_scores.select(parent, F.col("lexical_score").alias("_doc"))
+    both = chunks.select(key, parent).join(own, key, "left").join(whole, parent, "left").where("_own is not null or _doc is not null")
+    return both.select(key, (F.coalesce("_own", F.lit(0.0)) + F.coalesce("_doc", F.lit(0.0))).alias("lexical_score")).orderBy(F.desc("lexical_score"), key).limit(max(1, limit))

@@ -236,3 +236,11 @@ def q50_queue_state_machine(t: Tables) -> DataFrame:
     tries = ingest.event_stream(t.spark, t.path("events")).select("user_id", "ts", "event_id", (kind == "purchase").cast("int").alias("trades"), F.lit("m").alias("member_id"), F.lit(0.8).alias("confidence"),
                                                                    F.when(kind == "error", F.when(F.col("event_id") % 2 == 0, "read timed out").otherwise("not a PDF")).alias("error"))
     return ingest.drain(ingest.queue_states(tries), ["user_id"])
+
+
+@query(r"""WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda w: CASE WHEN length(regexp_replace(w, '(?:ational|ization|fulness|iveness|ingly|edly|ments|ment|ings|ing|ies|ied|ed|es|s|ly)$', '')) >= 3 THEN regexp_replace(w, '(?:ational|ization|fulness|iveness|ingly|edly|ments|ment|ings|ing|ies|ied|ed|es|s|ly)$', '') ELSE w END) AS w FROM documents WHERE text IS NOT NULL),
+c AS (SELECT doc_id, len(list_filter(w, lambda x: x = 'heron')) AS a, len(list_filter(w, lambda x: x = 'than')) AS b, len(list_filter(w, lambda x: x = 'whose')) AS no FROM d)
+SELECT doc_id, (a + b)::DOUBLE AS lexical_score FROM c WHERE a + b > 0 AND no = 0 """)
+def q62_indexed_search(t: Tables) -> DataFrame:
+    """q38's hits, all of them, out of an inverted table."""
+    return search.indexed(search.inverted(t.documents.select("doc_id", "text"), "doc_id", "text"), "heron or than -whose", key="doc_id")

@@ -104,10 +104,12 @@ def test_n7_n9_n10_codes(over):
 
 def test_n13_n14_n15_companies(over):
     assert over(text.strip_corporate, "Acme Holdings, Inc.", "Inc.", "Plain") == ["Acme", None, "Plain"]
-    assert over(text.company_tokens, "The Acme Global Services of America", "A & B Micro Devices") == [["acme"], ["micro", "devices"]]
+    assert over(text.company_tokens, "The Acme Global Systems Inc", "A & B Micro Devices") == [["acme", "global"], ["micro", "devices"]]
     assert over(text.alias_key, "Acme, Inc.", "") == ["ACME", None]
     assert over(text.name_variants, "A&B Co.") == [["A&B Co", "AANDB Co", "A B Co"]]
-    assert over(lambda x: text.company_query(x, F.lit("msft")), "Microsoft Corp (MSFT)", "$1,001 - $15,000 Acme Corp - Common Stock", "My IRA) Acme", None) == ["Microsoft Corp", "Acme Corp", "Acme", None]
+    assert over(lambda x: text.company_query(x, F.lit("msft")), "Microsoft Corp (MSFT)", "$1,001 Acme Corp - Common Stock", "My IRA) Acme", "Broker > Zeta Class A", "Code   Beta LLC", "Gamma Inc (NYSE)", "direction. x\nAcme Corp (MSFT)\nPortfolio rebalance", None, " ") == ["Microsoft Corp", "Acme Corp", "Acme", "Zeta", "Beta LLC", "Gamma Inc", "Acme Corp", None, None]
+    assert over(lambda x: text.company_queries(x, F.lit("Oracle Corp Common Stock"), F.lit("orcl")), "Oracle Corporation") == [["Oracle Corp", "Oracle", "Oracle Corporation", "ORACLE AMERICA", "ORACLE USA"]]
+    assert over(text.company_queries, "AT&T Inc.", None) == [["AT&T Inc", "ATANDT Inc", "AT T Inc", "AT&T", "ATANDT", "AT T"], []]
 
 
 def test_c3_c4_c5_d6_t9_recipients(spark, over):
@@ -136,3 +138,20 @@ def test_a2_a6_u3_collections(spark, over):
     assert json.loads(rows.agg(coll.count_map(F.col("k"), F.col("n"))).first()[0]) == {"a": 5, "b": 2}
     assert over(coll.string_list, '["a"," b"]', "x", "", None) == [["a", " b"], ["x"], [], []]
     assert over(lambda x: coll.drop_empty(F.create_map(F.lit("a"), x, F.lit("b"), F.lit("1"))), " ", "v") == [{"b": "1"}, {"a": "v", "b": "1"}]
+
+
+def test_r3_indexed_search_finds_what_a_scan_finds(spark):
+    from ledgerlens.operators import search
+
+    rows = [(1, "d1", "the committee on energy met; energy committees meeting"), (2, "d1", "committee energy"), (3, "d2", "energy and commerce committee"), (4, "d2", ""), (5, "d3", None), (6, "d3", "a bill on oil and gas leases, oil and gas")]
+    docs = spark.createDataFrame(rows, "chunk_id long, document_id string, content string")
+    index = search.inverted(docs)
+    for q in ("energy committee", '"energy committee"', "oil or energy", "energy -commerce", '"oil and gas" or commerce', "the", "", "nowhere", '"committee energy" -met'):
+        scan = {(r["chunk_id"], r["lexical_score"]) for r in search.lexical(docs, q, 10).collect()}
+        assert {(r["chunk_id"], r["lexical_score"]) for r in search.indexed(index, q, 10).collect()} == scan, q
+    scores = {r["chunk_id"]: r["lexical_score"] for r in search.indexed(index, "energy committee", None).collect()}
+    assert scores == pytest.approx({1: 0.5, 2: 1.0, 3: 1 / 3})  # one word between, none, two
+    assert [r["chunk_id"] for r in search.indexed(index, '"committee energy"', None).collect()] == [2]
+    found = search.indexed(index, "energy", None)
+    whole = spark.createDataFrame([("d3", 2.0), ("d1", 1.0)], "document_id string, lexical_score double")
+    assert [(r["chunk_id"], r["lexical_score"]) for r in search.with_documents(found, whole, docs, 9).collect()] == [(1, 3.0), (2, 2.0), (5, 2.0), (6, 2.0), (3, 1.0)]
