@@ -17,7 +17,7 @@ _PLAIN = ["".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.cate
 _PAIRS = [(a, p) for a, p in zip(_ACCENTED, _PLAIN) if len(p) == 1]
 TITLES = ["hon", "representative", "rep", "senator", "sen"]
 SUFFIXES = ["jr", "sr", "ii", "iii", "iv"]
-CORPORATE = "incorporated inc corp corporation co company limited ltd llc lp plc holdings holding group".split()
+CORPORATE = "co company corp corporation group holding holdings inc incorporated limited llc lp ltd plc".split()
 GENERIC = "and the holdings holding group technologies technology systems system".split()
 
 
@@ -139,7 +139,7 @@ def name_variants(x: Column | str) -> Column:
 
 
 _SECURITY = r"(?i)\b(?:common stock|common|ordinary shares|(?:class|series) [a-z0-9-]+)\b.*$"
-_BRACKETS = r"\s*\((?:NASDAQ|NYSE|AMEX|OTC|CRYPTO:[A-Z]+|[A-Z.]{1,10})\)\s*$"
+_BRACKETS = r"\s*\((?:[A-Z.]{1,10}|CRYPTO:[A-Z]+)\)\s*$"
 
 
 def _without_security(x: Column) -> Column:
@@ -157,10 +157,10 @@ def company_query(x: Column | str, ticker: Column | str | None = None) -> Column
     raw = blank_to_null(x)
     sign = F.upper(_c(ticker)) if ticker is not None else F.lit(None).cast("string")
     t = strip_ws(F.regexp_replace(F.regexp_replace(unescape(raw), r"[\r\n\t]+", " "), r"\x{00a0}", " "))
-    t = strip_ws(F.regexp_replace(t, r"^\$[\d,\s.-]+\s+", ""))
+    t = strip_ws(F.regexp_replace(t, r"^\$[-.,\d\s]+\s", ""))
     t = strip_ws(F.element_at(F.split(t, ">"), -1))
-    t = F.when(t.rlike(r"(?i)\b(?:trust|brokerage|account|401\(k\)|ira|retirement)\b") & t.contains(") "), strip_ws(F.element_at(F.split(t, r"\) "), -1))).otherwise(t)
-    named = F.concat(F.lit(r"(?i)(?<=\S)\s+\((?:\Q"), sign, F.lit(r"\E|NASDAQ|NYSE|AMEX|OTC)\)\s*$"))
+    t = F.when(t.rlike(r"(?i)\b(?:ira|401\(k\)|retirement|account|brokerage|trust)\b") & t.contains(") "), strip_ws(F.element_at(F.split(t, r"\) "), -1))).otherwise(t)
+    named = F.concat(F.lit(r"(?i)(?<=\S)\s+\((?:\Q"), sign, F.lit(r"\E|OTC|AMEX|NYSE|NASDAQ)\)\s*$"))
     t = F.when(F.coalesce(sign, F.lit("")) != "", F.regexp_replace(t, named, F.lit(""))).otherwise(t)
     t = F.coalesce(F.element_at(F.filter(F.transform(F.split(t, r"\s{2,}"), strip_ws), lambda v: v != ""), -1), t)
 
