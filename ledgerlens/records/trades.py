@@ -14,7 +14,7 @@ from ..rules.codes import senate_action, senate_asset, senate_owner
 from ..rules.crypto import asset_type, classify
 from .base import by_value, same_person
 
-SOURCES = {"house-clerk": "house_clerk", "senate-quiver": "senate_quiver", "senate-watcher": "senate_watcher", "senate-ethics": "senate_efd", "congress-gov": "congress_gov"}
+SOURCES = {"senate-ethics": "senate_efd"}  # those not spelt alike but for the dash
 TRADE = ["member_id", "source", "disclosure_kind", "source_id", "source_url", "ticker", "asset_description", "asset_type", "transaction_type", "transaction_date", "disclosure_date", "amount_min", "amount_max", "owner", "comment", "parser_confidence", "crypto"]
 
 

@@ -22,7 +22,7 @@ from ..session import ship
 
 ROWS = 10_000  # of a dump in one batch
 PDF_BASE = "https://disclosures-clerk.house.gov/public_disc/ptr-pdfs"
-OFFSHORE_FILES = {"entity": "nodes-entities.csv", "officer": "nodes-officers.csv", "address": "nodes-addresses.csv", "intermediary": "nodes-intermediaries.csv", "other": "nodes-others.csv"}
+OFFSHORE_FILES = {kind: f"nodes-{many}.csv" for kind, many in (("entity", "entities"), ("officer", "officers"), ("address", "addresses"), ("intermediary", "intermediaries"), ("other", "others"))}
 _AWARDS = r"PrimeAwardSummaries"
 _BULK = "Name|BioGuideID|Filed|Traded|Ticker|Company|Transaction|Trade_Size_USD|Amount|House|Chamber|State|Description|TickerType|Subholding|Comments|Representative|TransactionDate|ReportDate|QuiverUploadTime"
 _LIVE = {"Senator": "Name", "BioGuideID": "BioGuideID", "Date": "Traded", "Ticker": "Ticker", "Transaction": "Transaction", "Range": "Trade_Size_USD", "Amount": "Amount", "last_modified": "Filed", "TickerType": "TickerType"}
