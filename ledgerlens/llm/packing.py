@@ -6,13 +6,15 @@ cosine is that of their sets of fingerprints, and each text's ``k`` nearest othe
 paths over this graph, begun at texts of low degree, related texts come one after another, and windows of ``window``
 tokens are cut from each path.
 
-No pairs within large groups are made.  The holders of a fingerprint lie in one order of all texts (that of the ids'
-hashes); each meets the ``REACH`` holders that follow, and where there are more holders than that, the k + 1 smallest
-texts among them, which have the highest cosine if nothing else is shared.  As the order is the same for all
-fingerprints, what two texts share is counted whole if they lie close in it, as of many copies any text's next ones
-do; only of pairs that are far apart in large groups may some be missed, for others as near or nearer.  README has the
-measured recall.  Holder lists are cut at texts whose id's hash says so, the same for all lists; thus lists of the
-same texts meet piece by piece in one place, where their pairs are counted before they travel.
+The neighbours are exact, whatever the number of a fingerprint's holders.  Up to ``REACH`` + 1 holders meet two by two.
+Of the other fingerprints, the long ones, those of the same holders count as one of a weight, and texts with the same
+long ones form a class.  How many long ones two texts share depends on their classes alone, so of a class only the
+k + 1 smallest texts can be the nearest of one with which they share nothing else: classes are compared with all
+classes, in tiles, and each text takes the k + 1 nearest of its class.  Pairs that share a short fingerprint as well
+get the count of the long ones from their classes, unless k others are nearer even if all the long ones were shared.
+
+Holder lists are cut at texts whose id's hash says so, the same for all lists; thus lists of the same texts meet piece
+by piece in one place, where their pairs are counted before they travel.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,12 +32,15 @@ from .graph import components
 from .textkernel import mix, shingles, words
 
 GRAM, SPAN, K, WINDOW, PART_WINDOWS = 7, 2, 8, 2048, 4096
-REACH, CUT = 16, 128  # holders that each one meets; one text of so many begins a new piece of a list
+REACH, CUT = 32, 128  # holders of a short list but one; one text of so many begins a new piece of a list
 BUCKET, BATCH, OFTEN = 500_000, 500_000, 32  # fingerprints of a task and of a row of it; count in a batch from which one is reported
 HOT = 200_000  # holders from which on a fingerprint's list is dealt to several tasks
+LONG_ROW, KEYS = 65_536, 4_000_000  # holders in a row of a long list; pairs held before they are counted
+ASKED, TILES, MOST_ASKED, OTHERS = 20_000, 6, 4_000_000, 4_000_000  # long fingerprints of a block of classes that asks, such blocks while they hold at most so many, and those of a block that is asked
 PIECE = 1_000_000  # texts that one task walks at most
 STEPS = (0.1, 0.2, 0.4, 0.8)  # cosines below which a larger component is cut
 _ROWS, _BITS = 4096, 12  # texts fingerprinted at once; a fingerprint has the other 52 bits
+_GRAM = (1 << (64 - _BITS)) - 1
 
 
 def fingerprints(texts: pa.Array, gram: int = GRAM, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,13 +187,14 @@ def _holders(gram: int, span: int, targets: int, hot):
     return run
 
 
-_LISTS = "target long, mains binary, heads binary, counts binary, ids binary, sizes binary"
+_LISTS = "target long, mains binary, counts binary, ids binary, sizes binary, gram long, sig long"
 
 
-def _lists(reach: int, k: int, cut: int, targets: int):
-    """Of one target's fingerprints the holder lists, in pieces: holders, the next ones, and the smallest of a long list.
+def _lists(reach: int, cut: int, targets: int, hot):
+    """Of one target's fingerprints the holder lists: short ones in pieces, holders and the next ones; long ones whole.
 
-    A size is negative where the holder is one of these smallest.
+    A long list is that of more than ``reach`` + 1 holders or any part of a hot fingerprint's.  Its rows have no
+    target but the fingerprint and the sum without carry of its holders' hashes.
     """
     def run(table: pa.Table) -> pa.Table:
         doc, size, x = _flat(table, "ids", np.int64), _flat(table, "sizes", np.int32), _flat(table, "grams", np.int64)
@@ -200,88 +207,87 @@ def _lists(reach: int, k: int, cut: int, targets: int):
         x = x[order]
         equal = x[1:] == x[:-1]
         shared = np.append(equal, False) | np.append(False, equal)
+        if len(hot.value[0]):
+            shared |= np.isin(x & _GRAM, hot.value[0])  # of one part's only holder the partners are in others
         x, own = x[shared], rank[own[order[shared]]]
         if not len(x):
             return _none(_LISTS)
-        gram = np.append(0, np.cumsum(x[1:] != x[:-1]))
-        key = np.sort((gram << 32) | own)
-        gram, own = key >> 32, key & 0xFFFFFFFF
-        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+        name = x[first] & _GRAM
+        gram = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(x))))
+        own = np.sort((gram << 32) | own) & 0xFFFFFFFF
         n = np.diff(np.append(first, len(gram)))
-        long = np.flatnonzero(n > reach + 1)
-        mine = np.isin(gram, long)
-        at = np.flatnonzero(mine)
-        at = at[np.lexsort((doc[own[at]], size[own[at]], gram[at]))]
-        start = np.cumsum(n[long]) - n[long]
-        heads = at[start[:, None] + np.arange(k + 1)] if len(long) else np.zeros((0, k + 1), np.int64)
-        is_head = np.zeros(len(gram), bool)
-        is_head[heads.ravel()] = True
-        row_of = np.full(len(n), -1, np.int64)
-        row_of[long] = np.arange(len(long))
+        long = (n > reach + 1) | np.isin(name, hot.value[0])
+        out = []
+        for g in np.flatnonzero(long).tolist():
+            for i in range(first[g], first[g] + n[g], LONG_ROW):
+                held = own[i : min(i + LONG_ROW, first[g] + n[g])]
+                sig = np.bitwise_xor.reduce(mix(_place(doc[held]))).view(np.int64)
+                out.append([None, b"", b"", _pack(doc[held]), _pack(size[held]), int(name[g]), int(sig)])
         begins = _place(doc[own]) % np.uint64(cut) == 0
         begins[first] = True
         a = np.flatnonzero(begins)  # a piece begins
         b = np.append(a[1:], len(gram))
         g = gram[a]
         c = np.minimum(b + reach, (first + n)[g])
-        some = (c - a > 1) | (row_of[g] >= 0)
-        a, b, c, g = a[some], b[some], c[some], g[some]
+        some = (c - a > 1) & ~long[g]
+        a, b, c = a[some], b[some], c[some]
+        kinds = [pa.int64(), *[pa.binary()] * 4, pa.int64(), pa.int64()]
+        rest = pa.table([pa.array(v, t) for v, t in zip(zip(*out) if out else [[]] * 7, kinds)], _names(_LISTS))
         if not len(a):
-            return _none(_LISTS)
+            return rest
         target = (mix(doc[own[a]].view(np.uint64)) % np.uint64(targets)).astype(np.int64)
         order = np.argsort(target, kind="stable")
-        a, b, c, g, target = a[order], b[order], c[order], g[order], target[order]
-        head = row_of[g]
-        extra = np.where(head >= 0, k + 1, 0)
-        length = c - a + extra
+        a, b, c, target = a[order], b[order], c[order], target[order]
+        length = c - a
         end = np.cumsum(length)
-        inner = np.arange(end[-1]) - np.repeat(end - length, length)
-        piece = np.repeat(np.arange(len(a)), length)
-        body = inner < (c - a)[piece]
-        take = a[piece] + inner
-        take[~body] = heads[head[piece[~body]], (inner - (c - a)[piece])[~body]]
-        signed = np.where(is_head[take], -size[own[take]], size[own[take]])
+        take = np.arange(end[-1]) - np.repeat(end - length, length) + np.repeat(a, length)
         row = np.flatnonzero(np.append(True, target[1:] != target[:-1]))
         by_piece, by_text = np.append(row, len(a)), np.append(0, end)[np.append(row, len(a))]
-        small = {"mains": b - a, "heads": extra, "counts": length}
-        return pa.Table.from_batches([_rows(target[row], {n: (v.astype(np.int32), by_piece) for n, v in small.items()} | {"ids": (doc[own[take]], by_text), "sizes": (signed.astype(np.int32), by_text)})])
+        small = {"mains": b - a, "counts": length}
+        short = pa.Table.from_batches([_rows(target[row], {n: (v.astype(np.int32), by_piece) for n, v in small.items()} | {"ids": (doc[own[take]], by_text), "sizes": (size[own[take]], by_text)})])
+        for c in ("gram", "sig"):
+            short = short.append_column(c, pa.nulls(short.num_rows, pa.int64()))
+        return pa.concat_tables([short, rest])
     return run
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 def _none(schema: str) -> pa.Table:
-    names = [c.split()[0] for c in schema.split(", ")]
-    return pa.table([pa.array([], pa.int64()), *[pa.array([], pa.binary()) for _ in names[1:]]], names)
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    return pa.table([pa.array([], kinds[c.split()[1]]) for c in schema.split(", ")], _names(schema))
 
 
 _MET = "target long, ids binary, sizes binary, counts binary, nears binary, near_sizes binary, shared binary"
 
 
-def _meet(reach: int, targets: int):
-    """How many fingerprints the texts of pieces of holder lists share two by two, each pair from both sides."""
+def _meet(targets: int):
+    """How many fingerprints the texts of pieces of short lists share two by two, each pair from both sides."""
     def run(table: pa.Table) -> pa.Table:
-        mains, heads, count = (_flat(table, c, np.int32).astype(np.int64) for c in ("mains", "heads", "counts"))
+        mains, count = (_flat(table, c, np.int32).astype(np.int64) for c in ("mains", "counts"))
         doc, at, code = np.unique(_flat(table, "ids", np.int64), return_index=True, return_inverse=True)
-        size = _flat(table, "sizes", np.int32)
-        head, size = size < 0, np.abs(size[at])
+        size = _flat(table, "sizes", np.int32)[at]
         piece = np.repeat(np.arange(len(count)), count)
         begin = np.cumsum(count) - count
         inner = np.arange(len(piece)) - begin[piece]
-        body = (count - heads)[piece]  # where a piece's own holders and the next ones end
-        main = np.flatnonzero(inner < mains[piece])
-        u, keys = len(doc), [np.zeros(0, np.int64)]
-        long = heads[piece] > 0
-        for d in range(1, reach + 1):
-            i = main[inner[main] + d < body[main]]
-            i = i[~(long[i] & (head[i] | head[i + d]))]  # heads meet all, below
-            p, q = code[i], code[i + d]
-            keys.append(np.minimum(p, q) * u + np.maximum(p, q))
-        for d in range(int(heads.max()) if len(heads) else 0):
-            i = main[heads[piece[main]] > d]
-            p, q = code[i], code[begin[piece[i]] + body[i] + d]
-            ok = (p != q) & (~head[i] | (p < q))
-            p, q = p[ok], q[ok]
-            keys.append(np.minimum(p, q) * u + np.maximum(p, q))
-        key, shared = _counted(np.concatenate(keys))
+        left = count[piece] - inner  # holders from here on
+        i, u, d = np.flatnonzero(inner < mains[piece]), len(doc), 0
+        key, shared, keys, held = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+        while len(i):
+            d += 1
+            i = i[left[i] > d]
+            for at in range(0, len(i), KEYS):
+                p, q = code[i[at : at + KEYS]], code[i[at : at + KEYS] + d]
+                keys.append(np.minimum(p, q) * u + np.maximum(p, q))
+                held += len(p)
+                if held >= KEYS:
+                    key, shared = _added(key, shared, *_counted(np.concatenate(keys)))
+                    keys, held = [], 0
+        if keys:
+            key, shared = _added(key, shared, *_counted(np.concatenate(keys)))
         if not len(key):
             return _none(_MET)
         p, q, shared = np.append(key // u, key % u), np.append(key % u, key // u), np.append(shared, shared)
@@ -298,38 +304,209 @@ def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[at], np.diff(np.append(at, len(key)))
 
 
+def _added(key: np.ndarray, n: np.ndarray, more: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(key):
+        return more, m
+    key, n = np.append(key, more), np.append(n, m)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[at], np.add.reduceat(n[order], at)
+
+
 def _nearest(k: int):
-    """Of the texts of one target, the k nearest of each."""
-    def run(table: pa.Table) -> pa.Table:
+    """Of the texts of one target, by short lists, the k nearest of each; of those in a class all that might be nearest."""
+    def run(table: pa.Table, placed: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _none(_FOUND)
         count = _flat(table, "counts", np.int32)
-        doc, n = np.repeat(_flat(table, "ids", np.int64), count), np.repeat(_flat(table, "sizes", np.int32), count).astype(np.float64)
-        near, m, shared = _flat(table, "nears", np.int64), _flat(table, "near_sizes", np.int32).astype(np.float64), _flat(table, "shared", np.int32)
+        doc, n = np.repeat(_flat(table, "ids", np.int64), count), np.repeat(_flat(table, "sizes", np.int32), count).astype(np.int64)
+        near, m, shared = _flat(table, "nears", np.int64), _flat(table, "near_sizes", np.int32).astype(np.int64), _flat(table, "shared", np.int32)
         order = np.lexsort((near, doc))
         doc, n, near, m, shared = doc[order], n[order], near[order], m[order], shared[order]
         at = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (near[1:] != near[:-1])))
-        shared = np.add.reduceat(shared, at)
-        doc, near = doc[at], near[at]
-        cos = (shared / np.sqrt(n[at] * m[at])).round(12)
-        order = np.lexsort((near, -cos, doc))
-        doc, near, cos = doc[order], near[order], cos[order]
+        shared = np.add.reduceat(shared, at).astype(np.int64)
+        doc, n, near, m = doc[at], n[at], near[at], m[at]
+        least = shared.astype(np.float64) ** 2 / m
+        order = np.lexsort((near, -least, doc))
+        doc, n, near, m, shared, least = doc[order], n[order], near[order], m[order], shared[order], least[order]
         first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-        best = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc)))) < k
-        return pa.table({"id": doc[best], "near": near[best], "cos": cos[best]})
+        many = np.diff(np.append(first, len(doc)))
+        best = np.arange(len(doc)) - np.repeat(first, many) < k
+        kind = np.zeros(len(doc), np.int64)
+        classed = np.zeros(len(doc), bool)
+        if placed.num_rows:
+            placed = placed.sort_by("id")
+            name = placed["id"].to_numpy()
+            j = np.minimum(np.searchsorted(name, doc), len(name) - 1)
+            classed = name[j] == doc
+            kind = placed["class"].to_numpy()[j]
+            kth = np.where(many >= k, least[np.minimum(first + k, len(doc)) - 1], 0)
+            most = (shared + np.minimum(placed["weight"].to_numpy()[j], m - shared)).astype(np.float64) ** 2 / m
+            best |= classed & (most >= np.repeat(kth, many) * (1 - 1e-9))
+        return pa.table([doc[best], near[best], n[best], m[best], shared[best], pa.array(kind[best], mask=~classed[best])], _names(_FOUND))
+    return run
+
+
+_FOUND = "id long, near long, size long, near_size long, shared long, class long"
+_TILE = "class long, near long, near_size long, shared long"
+
+
+def _each(targets: int):
+    """A row for each holder of long lists (fingerprint, weight, ids, sizes)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                t = pa.Table.from_batches([b.slice(i, 1)])
+                doc, size = _flat(t, "ids", np.int64), _flat(t, "sizes", np.int32).astype(np.int64)
+                target = (mix(doc.view(np.uint64)) % np.uint64(targets)).astype(np.int64)
+                gram, weight = (np.full(len(doc), t[c][0].as_py()) for c in ("gram", "weight"))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (target, doc, size, gram, weight)], ["target", "id", "size", "gram", "weight"])
+    return run
+
+
+def _tile(k: int):
+    """For each class that asks (role 0) the k + 1 nearest texts of the classes asked (role 1), by long fingerprints.
+
+    Nearest is by the square of the number shared over the size, ties by id: the asking text's own size is the same
+    for all.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        role = table["role"].to_numpy()
+        asked, other = (table.filter(pa.array(role == r)).combine_chunks() for r in (0, 1))
+        if not asked.num_rows or not other.num_rows:
+            return _none(_TILE)
+        flat = lambda t, c: t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        ends = lambda t, c: np.append(0, np.cumsum(pc.list_value_length(t[c]).to_numpy()))
+        least = flat(other, "sizes")[ends(other, "sizes")[:-1]]  # of each class the smallest text's
+        order = np.argsort(least, kind="stable")
+        other, least = other.take(pa.array(order)).combine_chunks(), least[order].astype(np.float64)
+        of, held, at = other.num_rows, ends(other, "grams"), flat(other, "grams")
+        order = np.argsort(at, kind="stable")
+        owner = np.repeat(np.arange(of), np.diff(held))[order]
+        at, weight = at[order], flat(other, "weights")[order]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        gram, weigh = at[first], weight[first]
+        place = np.repeat(np.arange(len(gram)), np.diff(np.append(first, len(at)))) * of + owner
+        text, doc, size = ends(other, "ids"), flat(other, "ids"), flat(other, "sizes")
+        ask, name = ends(asked, "grams"), flat(asked, "grams")
+        j = np.minimum(np.searchsorted(gram, name), len(gram) - 1)
+        there = gram[j] == name
+        out = []
+        for a in range(asked.num_rows):
+            g = j[ask[a] : ask[a + 1]][there[ask[a] : ask[a + 1]]]
+            if not len(g):
+                continue
+            hit, n, done, step, end = np.zeros(0, np.int64), np.zeros(0), 0, 1024, of
+            all_ = float(weigh[g].sum())
+            while done < end:  # by size, until even one that had all of the fingerprints would be further
+                upto = min(done + step, end)
+                x, y = np.searchsorted(place, g * of + done), np.searchsorted(place, g * of + upto)
+                many = y - x
+                i = np.repeat(x - np.cumsum(many) + many, many) + np.arange(many.sum())
+                more = np.bincount(owner[i] - done, weight[i], upto - done)
+                new = np.flatnonzero(more)
+                hit, n = np.append(hit, new + done), np.append(n, more[new])
+                if len(hit) > k:
+                    best = n**2 / least[hit]
+                    kth = np.partition(best, -k - 1)[-k - 1]
+                    hit, n = hit[best >= kth], n[best >= kth]
+                    end = min(of, int(np.searchsorted(least, all_**2 / kth * (1 + 1e-9), "right")))
+                done, step = upto, step * 4
+            many = text[hit + 1] - text[hit]
+            e = np.repeat(text[hit] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            n = np.repeat(n, many)
+            e, n = (v[np.lexsort((doc[e], -(n**2) / size[e]))[: k + 1]] for v in (e, n))
+            out.append((np.full(len(e), a), doc[e], size[e], n.astype(np.int64)))
+        if not out:
+            return _none(_TILE)
+        a, doc, size, n = (np.concatenate(c) for c in zip(*out))
+        return pa.table([asked["class"].to_numpy()[a], doc, size, n], _names(_TILE))
     return run
 
 
-def neighbours(d: DataFrame, total: int, hot: tuple[np.ndarray, np.ndarray] | None = None, k: int = K, gram: int = GRAM, span: int = SPAN, reach: int = REACH, cut: int = CUT, bucket: int = BUCKET) -> DataFrame:
+def _classes(long: DataFrame, k: int, targets: int) -> tuple[DataFrame, DataFrame]:
+    """Of long lists' rows: (target, id, class, weight, size) of each holder, and of each class its fingerprints and k + 1 smallest texts."""
+    whole = long.groupBy("gram").agg(F.expr("bit_xor(sig)").alias("sig"), F.sum(F.octet_length("ids")).alias("n"))
+    names = stored(whole.where("n > 8").groupBy("sig", "n").agg(F.min("gram").alias("gram"), F.count("*").alias("weight")))
+    each = long.select("gram", "ids", "sizes").join(names.select("gram", "weight"), "gram").select("gram", "weight", "ids", "sizes").mapInArrow(_each(targets), "target long, id long, size long, gram long, weight long")
+    held = each.groupBy("id").agg(F.first("target").alias("target"), F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("gram", "weight"))).alias("held"), F.sum("weight").alias("weight"))
+    held = stored(held.select("target", "id", "size", F.xxhash64("held").alias("class"), "weight", "held"))
+    first = held.withColumn("r", F.row_number().over(Window.partitionBy("class").orderBy("size", "id"))).where(F.col("r") <= k + 1)
+    kinds = first.groupBy("class").agg(F.first("held").alias("held"), F.array_sort(F.collect_list(F.struct("size", "id"))).alias("texts"))
+    kinds = kinds.select("class", F.col("held.gram").alias("grams"), F.col("held.weight").alias("weights"), F.col("texts.id").alias("ids"), F.col("texts.size").alias("sizes"))
+    return held.select("target", "id", "size", "class", "weight"), stored(kinds)
+
+
+def _nearest_of_classes(kinds: DataFrame, k: int, asked: int | None = None, others: int = OTHERS) -> DataFrame:
+    """(class, near, near_size, shared): the k + 1 nearest texts by long fingerprints, a text of the class itself included.
+
+    All classes are compared with all that share one, a block that asks with one that is asked in each task.
+    """
+    total = kinds.agg(F.sum(F.size("grams"))).first()[0] or 0
+    rows = -(-total // asked) if asked else max(min(TILES, -(-total // ASKED)), -(-total // MOST_ASKED))
+    rows, columns = max(1, rows), max(1, -(-total // others))
+    of = lambda n, other, name, all_: [F.pmod("class", F.lit(n)).alias(name), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(all_)]
+    none = F.array().cast("array<long>")
+    ask = kinds.select(F.lit(0).alias("role"), "class", "grams", none.alias("weights"), none.alias("ids"), none.alias("sizes"), *of(rows, columns, "a", "b"))
+    reply = kinds.select(F.lit(1).alias("role"), "class", "grams", "weights", "ids", "sizes", *of(columns, rows, "b", "a"))
+    best = ask.unionByName(reply).groupBy("a", "b").applyInArrow(_tile(k), _TILE)
+    by = Window.partitionBy("class").orderBy(F.desc(_square()), "near")
+    return stored(best.withColumn("r", F.row_number().over(by)).where(F.col("r") <= k + 1).drop("r"))
+
+
+def _square():
+    return F.col("shared").cast("double") * F.col("shared") / F.col("near_size")
+
+
+def _common(kinds: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(class, near_class, long): by how much the long fingerprints of two classes weigh that both have."""
+    grams, weights = kinds.select("class", "grams", "weights"), kinds.select(F.col("class").alias("near_class"), F.col("grams").alias("theirs"))
+    both = pairs.join(grams, "class").join(weights, "near_class")
+    return both.select("class", "near_class", "grams", "weights", "theirs").mapInArrow(_shared, "class long, near_class long, long long")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if not b.num_rows:
+            continue
+        row = np.concatenate([np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(c)).to_numpy()) for c in (2, 4)])
+        mine, weight, theirs = (b.column(c).flatten().to_numpy() for c in (2, 3, 4))
+        x, weight = np.append(mine, theirs), np.append(weight, np.zeros(len(theirs), np.int64))
+        order = np.lexsort((x, row))
+        x, row, weight = x[order], row[order], weight[order]
+        both = np.flatnonzero((x[1:] == x[:-1]) & (row[1:] == row[:-1]))
+        n = np.bincount(row[both], weight[both] + weight[both + 1], b.num_rows).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n)], ["class", "near_class", "long"])
+
+
+def neighbours(d: DataFrame, total: int, hot: tuple[np.ndarray, np.ndarray] | None = None, k: int = K, gram: int = GRAM, span: int = SPAN, reach: int = REACH, cut: int = CUT, bucket: int = BUCKET, asked: int | None = None, others: int = OTHERS) -> DataFrame:
     """(id, near, cos): the ``k`` nearest others of each text (id, text), ties by id; those of cosine 0 are none.
 
     ``total`` is about how many fingerprints all texts have, ``hot`` names those of very many holders and among how
     many tasks each is dealt.  Ids are distinct.
     """
-    targets, reach = max(1, -(-total // bucket)), max(reach, k)
+    targets = max(1, -(-total // bucket))
     shared = d.sparkSession.sparkContext.broadcast(hot or (np.zeros(0, np.int64), np.zeros(0, np.int64)))
     held = d.mapInArrow(_holders(gram, span, targets, shared), _HELD)
-    lists = held.groupBy("target").applyInArrow(_lists(reach, k, cut, targets), _LISTS)
-    met = lists.groupBy("target").applyInArrow(_meet(reach, targets), _MET)
-    return met.groupBy("target").applyInArrow(_nearest(k), "id long, near long, cos double")
+    lists = stored(held.groupBy("target").applyInArrow(_lists(reach, cut, targets, shared), _LISTS))
+    placed, kinds = _classes(lists.where("gram is not null"), k, targets)
+    short = lists.where("target is not null").select("target", "mains", "counts", "ids", "sizes")
+    met = short.groupBy("target").applyInArrow(_meet(targets), _MET)
+    found = stored(met.groupBy("target").cogroup(placed.groupBy("target")).applyInArrow(_nearest(k), _FOUND))
+    cos = F.rint(F.col("shared") / F.sqrt(F.col("size").cast("double") * F.col("near_size")) * 1e12) / 1e12
+    done = found.where("class is null").select("id", "near", cos.alias("cos"))
+    if kinds.isEmpty():
+        return done
+    rest = found.where("class is not null").join(placed.select(F.col("id").alias("near"), F.col("class").alias("near_class")), "near", "left")
+    common = _common(kinds, stored(rest.where("near_class is not null").select("class", "near_class").distinct()))
+    columns = ["id", "near", "size", "near_size", "shared"]
+    rest = rest.join(common, ["class", "near_class"], "left").withColumn("shared", F.col("shared") + F.coalesce("long", F.lit(0)))
+    wide = placed.join(_nearest_of_classes(kinds, k, asked, others), "class").where("id <> near")
+    every = rest.select(columns).unionByName(wide.select(columns)).repartition("id")
+    every = every.groupBy("id", "near").agg(F.first("size").alias("size"), F.first("near_size").alias("near_size"), F.max("shared").alias("shared"))
+    best = every.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc(_square()), "near"))).where(F.col("r") <= k)
+    return done.unionByName(best.select("id", "near", cos.alias("cos")))
 
 
 def hottest(every: DataFrame, hot: int = HOT) -> tuple[np.ndarray, np.ndarray]:

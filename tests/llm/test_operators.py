@@ -448,6 +448,27 @@ def test_packing_neighbours_equal_brute_force(spark, reach, bucket, hot):
     assert hit >= (0.8 if hot else 0.9) * asked and asked > 400, (hit, asked)
 
 
+def test_packing_neighbours_of_long_lists_are_exact(spark):
+    """Fingerprints of many more holders than meet two by two, in classes, tiles and dealt parts: no partner is lost."""
+    r = random.Random(23)
+    shared = [[f"s{p}x{i}" for i in range(9 + 2 * p)] for p in range(9)]
+    docs = {i: " ".join(sum(([f"d{i}x{r.randrange(10**9)}" for _ in range(r.randrange(3, 40))] + shared[p] for p in r.sample(range(9), 1 + i % 4)), [])) for i in range(300)}
+    docs |= {300 + i: docs[i % 7] for i in range(60)}  # copies
+    pair = " ".join(f"pair{i}" for i in range(12))
+    docs |= {i: docs[i] + " " + pair for i in (11, 200)}
+    sets = {i: prints(t) for i, t in docs.items()}
+    want = {i: x[:8] for i, x in nearest(sets).items()}
+    every = Counter(x for s in sets.values() for x in s)
+    names = sorted(x for x, n in every.items() if n >= 50)
+    deal = (np.array(names, np.int64), np.array([every[x] // 2 for x in names]))  # parts of two holders or so, of one as well
+    df = spark.createDataFrame(list(docs.items()), "id long, text string")
+    for how in ({}, {"hot": deal, "bucket": 700, "cut": 8, "asked": 60, "others": 90}, {"reach": 1, "bucket": 2000}):
+        got: dict = {i: [] for i in docs}
+        for q in packing.neighbours(df, sum(every.values()), **how).orderBy("id", F.desc("cos"), "near").collect():
+            got[q["id"]].append((q["near"], q["cos"]))
+        assert got == want, how
+
+
 def test_packing_fingerprints_are_the_least_of_each_span():
     texts = [*related().values(), None, "one", prose(5, 7000)]
     text, x, tokens = packing.fingerprints(pa.array(texts))
