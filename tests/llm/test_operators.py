@@ -497,6 +497,24 @@ def test_packing_of_repeated_ids_and_hot_fingerprints(spark):
     assert held == Counter({i: 60 + (i == 5) for i in range(30)})
 
 
+def test_pipeline_links_partners_from_long_lists(spark, sf_dir):
+    """Two texts that share six passages, each with 60 other texts between them in the order of all, are each other's nearest."""
+    import corpus_pipeline as c
+
+    place = sorted(range(362), key=lambda i: int(packing._place(np.array([i]))[0]))
+    ends = place[0], place[-1]
+    passage = [" ".join(f"s{p}x{i}" for i in range(12)) for p in range(6)]
+    own = lambda i, n: " ".join(f"d{i}x{j}" for j in range(n))
+    docs = {i: own(i, 20) + " " + passage[n % 6] for n, i in enumerate(place)}
+    docs |= {i: " ".join(own(f"{i}y{p}", 25) + " " + x for p, x in enumerate(passage)) for i in ends}  # no run is theirs alone
+    df = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in docs.items()], SCHEMA)
+    for _, stage in c.STAGES[1:-1]:
+        df = stage(spark, df, sf_dir)
+    assert df.count() == len(docs)
+    near = packing.neighbours(df.selectExpr("doc_id AS id", "text"), 10_000).where(F.col("id").isin(*ends)).orderBy("id", F.desc("cos"), "near").collect()
+    assert [next(q["near"] for q in near if q["id"] == i) for i in ends] == [ends[1], ends[0]]
+
+
 def test_pipeline_stages(spark, sf_dir, odd):
     import corpus_pipeline as c
     from ledgerlens.llm.common import stored
