@@ -19,6 +19,8 @@ by piece in one place, where their pairs are counted before they travel.
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ BUCKET, BATCH, OFTEN = 500_000, 500_000, 32  # fingerprints of a task and of a r
 HOT = 200_000  # holders from which on a fingerprint's list is dealt to several tasks
 LONG_ROW, KEYS = 65_536, 4_000_000  # holders in a row of a long list; pairs held before they are counted
 ASKED, TILES, MOST_ASKED, OTHERS = 20_000, 6, 4_000_000, 4_000_000  # long fingerprints of a block of classes that asks, such blocks while they hold at most so many, and those of a block that is asked
-PIECE = 1_000_000  # texts that one task walks at most
+PIECE = 1_000_000  # texts of a component from which on its links are walked from disk
 STEPS = (0.1, 0.2, 0.4, 0.8)  # cosines below which a larger component is cut
 _ROWS, _BITS = 4096, 12  # texts fingerprinted at once; a fingerprint has the other 52 bits
 _GRAM = (1 << (64 - _BITS)) - 1
@@ -560,7 +562,9 @@ def _walk_component(table: pa.Table) -> pa.Table:
 
 
 def pieces(near: DataFrame, most: int = PIECE) -> DataFrame:
-    """(id, component): which texts are walked together, of (id, near, cos); those that share no link never are.
+    """(id, component): components in pieces, of (id, near, cos); texts that share no link are never in one.
+
+    ``pack`` doesn't cut them: see ``walks``.
 
     Connected components of at most ``most`` texts are kept whole.  Larger ones are cut where their links are
     weakest, by one step of ``STEPS`` after the other, and what is still too large then, texts all much alike, by
@@ -599,6 +603,101 @@ def paths(near: DataFrame, most: int = PIECE) -> DataFrame:
     return ends.select("component", "id", "near", "cos").groupBy("component").applyInArrow(_walk_component, "id long, component long, path long, step long")
 
 
+def _walk_spilled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The paths of ``walk`` through whole components, whose links (component, src, dst) come in the order they are tried.
+
+    Texts are numbered in the order in which paths may begin.  Links wait in a file of the task's own, as Spark's
+    spills do; in memory are nine bytes a text.
+    """
+    name, held = None, None
+    for b in batches:
+        component, src, dst = (b.column(c).to_numpy() for c in range(3))
+        cut = np.flatnonzero(component[1:] != component[:-1]) + 1
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(component)]):
+            if i == j:
+                continue
+            if held is None or component[i] != name:
+                if held is not None:
+                    yield from held.walk(name)
+                name, held = component[i], _Links(src[i])
+            held.add(src[i:j], dst[i:j])
+    if held is not None:
+        yield from held.walk(name)
+
+
+class _Links:
+    """Lists of numbered texts' neighbours in a file, written in the order of the texts."""
+
+    def __init__(self, first: int):
+        self.first, self.last, self.n = first, None, 0
+        self.begins: list[np.ndarray] = []
+        self.file = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
+
+    def add(self, src: np.ndarray, dst: np.ndarray) -> None:
+        new = np.append(src[0] != self.last, src[1:] != src[:-1])
+        self.begins.append(np.flatnonzero(new) + self.n)
+        self.n, self.last = self.n + len(src), src[-1]
+        self.file.write((dst - self.first).astype(np.uint32).tobytes())
+
+    def _near(self, begin: int, end: int, step: int = 4096) -> Iterator[int]:
+        for i in range(begin, end, step):
+            yield from np.frombuffer(os.pread(self.file.fileno(), 4 * (min(end, i + step) - i), 4 * i), np.uint32).tolist()
+
+    def walk(self, name: int, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+        self.file.flush()
+        begins = np.concatenate([*self.begins, [self.n]])
+        self.begins = []
+        seen, order, path, number, done = bytearray(len(begins) - 1), [], [], 0, 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(order), name)), pa.array(np.array(order, np.int64) + self.first), pa.array(path, pa.int64()), pa.array(np.arange(done, done + len(order)))], ["component", "at", "path", "step"])
+
+        start = 0
+        while (start := seen.find(0, start)) >= 0:
+            at: int | None = start
+            while at is not None:
+                seen[at] = 1
+                order.append(at), path.append(number)
+                if len(order) == rows:
+                    yield out()
+                    done, order, path = done + rows, [], []
+                at = next((e for e in self._near(int(begins[at]), int(begins[at + 1])) if not seen[e]), None)
+            number += 1
+        if order:
+            yield out()
+        self.file.close()
+
+
+def _large_walks(links: DataFrame) -> DataFrame:
+    """(id, component, path, step) of components too large for one task's memory, of their (component, id, near, cos)."""
+    both = links.unionByName(links.select("component", F.col("near").alias("id"), F.col("id").alias("near"), "cos"))
+    both = stored(both.groupBy("component", "id", "near").agg(F.max("cos").alias("cos")))
+    degree = stored(both.groupBy("component", "id").agg(F.count("*").alias("degree")))
+    drawn = stored(degree.orderBy("component", "degree", "id").select("id", F.monotonically_increasing_id().alias("m")))
+    sizes = drawn.groupBy(F.shiftright("m", 33).alias("task")).agg(F.count("*").alias("n"))
+    before = sizes.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    number = stored(drawn.join(F.broadcast(before), F.shiftright("m", 33) == F.col("task")).select("id", (F.col("m").bitwiseAND((1 << 33) - 1) + F.col("before")).alias("at")))
+    ends = both.join(number.withColumnRenamed("at", "src"), "id").join(number.select(F.col("id").alias("near"), F.col("at").alias("dst")), "near")
+    ends = ends.repartition("component").sortWithinPartitions("component", "src", F.desc("cos"), "near").select("component", "src", "dst")
+    return ends.mapInArrow(_walk_spilled, "component long, at long, path long, step long").join(number, "at").select("id", "component", "path", "step")
+
+
+def walks(near: DataFrame, most: int = PIECE) -> DataFrame:
+    """(id, component, path, step) for all texts that have a neighbour, of (id, near, cos).
+
+    Each connected component is walked whole, along all of its links, by one task: up to ``most`` texts in memory,
+    larger ones from disk.
+    """
+    near = stored(near)
+    group = stored(components(near.select(F.col("id").alias("src"), F.col("near").alias("dst"))))
+    links = near.join(group, "id").select("component", "id", "near", "cos")
+    large = stored(group.groupBy("component").count().where(F.col("count") > most).select("component"))
+    if large.isEmpty():
+        return links.groupBy("component").applyInArrow(_walk_component, "id long, component long, path long, step long")
+    small = links.join(large, "component", "left_anti").groupBy("component").applyInArrow(_walk_component, "id long, component long, path long, step long")
+    return small.unionByName(_large_walks(links.join(large, "component", "left_semi")))
+
+
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, k: int = K, gram: int = GRAM, span: int = SPAN, part_windows: int = PART_WINDOWS, often: int = OFTEN, hot: int = HOT, most: int = PIECE) -> DataFrame:
     """(part, window_id, position, doc_id, start, end): which tokens of which document fill each window.
 
@@ -620,7 +719,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     total, prints = (x or 0 for x in features.agg(F.sum("tokens"), F.sum("size")).first())
     parts = max(1, -(-total // (window * part_windows)))
     near = neighbours(d, prints, hottest(every, hot), k, gram, span)
-    laid = features.select("id", "tokens").join(paths(near, most), "id", "left").select(
+    laid = features.select("id", "tokens").join(walks(near, most), "id", "left").select(
         F.pmod(F.xxhash64(F.coalesce("component", "id")), F.lit(parts)).cast("int").alias("part"), "id", "tokens",
         F.coalesce("component", "id").alias("component"), F.coalesce("step", F.lit(0)).alias("step"))
     order = Window.partitionBy("part").orderBy("component", "step", "id")

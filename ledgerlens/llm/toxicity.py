@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples.
 
-Fitting: at most ``max_labelled`` labelled rows (those of the smallest id hashes) give the examples.  The
-vocabulary is the terms whose presence tells the label: an odds ratio of at least ``min_odds`` in either direction,
+Fitting: at most ``max_labelled`` labelled rows (those of the smallest id hashes) give the vocabulary and the
+calibration; the examples are all labelled texts.  Of texts with the same terms as often only the ``k`` + 1 of the
+smallest ids are held, as no other can be among the nearest.  The vocabulary is the terms whose presence tells the label: an odds ratio of at least ``min_odds`` in either direction,
 a likelihood-ratio statistic of at least ``min_g2`` and presence in at least ``min_support`` of the rarer class.  Document frequencies are those of all documents.
 Terms outside it count for nothing and vectors are of unit length over what is left, so cosines aren't those of the
 documents' whole TF-IDF vectors, and a text without a term of the vocabulary has no neighbours (README has figures).
@@ -16,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ids, list_array, one_text_per_id, prepare, slices, stored
+from .common import ids, list_array, one_text_per_id, prepare, slices, small, stored
 from .textkernel import words
 
 MAX_LABELLED, K, MIN_G2, MIN_ODDS, MIN_SUPPORT, BLOCK, CUT = 20_000, 15, 15.0, 4.0, 0.01, 64, 0.5
@@ -51,16 +53,24 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), list_array(term.view(np.int64), n, pa.int64()), list_array(count, n, pa.int32())], ["id", "toxic", "terms", "counts"])
 
 
-def _frequencies(vocab: np.ndarray):
+def _bagged(vocab: np.ndarray):
+    """Each text's terms of the vocabulary, if any; without an id, in how many texts each one is and, as -1, how many there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(len(vocab), np.int64), 0
+        df, rows = np.zeros(len(vocab), np.int64), 0
+        kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         for b in slices(batches):
-            df += np.bincount(_bags(*words(b.column(1)), vocab)[1], minlength=len(vocab))
-            n += b.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(vocab)), -1)), pa.array(np.append(df, n))], ["term", "df"])
+            text, term, count = _bags(*words(b.column(1)), vocab)
+            n = np.bincount(text, minlength=b.num_rows)
+            df += np.bincount(term, minlength=len(vocab))
+            rows += b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(n > 0)), list_array(term, n[n > 0], pa.int32()), list_array(count, n[n > 0], pa.int64())], _BAG)
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip([[None], [[*range(len(vocab)), -1]], [[*df.tolist(), rows]]], kinds)], _BAG)
     return run
 
 
+_BAG = ["id", "terms", "counts"]
+
+
 class Index:
     """Block-max inverted index over unit TF-IDF vectors of examples given as (example, term, weight)."""
 
@@ -147,28 +157,51 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
               .agg(F.count_if(F.col("toxic") > 0).cast("double").alias("a"), F.count_if(F.col("toxic") <= 0).cast("double").alias("b"))
               .where((a + b >= max(3.0, min_support * min(m1, m0))) & (g2 >= min_g2) & (odds >= float(np.log(min_odds)))).select("term").toPandas()["term"].to_numpy(np.int64))
     vocab = np.sort(picked.view(np.uint64))
-    counted = d.select(F.col(key).alias("id"), text).mapInArrow(_frequencies(vocab), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
+    texts, kind = d.select(F.col(key).cast("long").alias("id"), text), "id long, terms array<int>, counts array<long>"
+    every = stored(texts.mapInArrow(_bagged(vocab), kind))
+    cell = every.where("id is null").select(F.explode(F.arrays_zip("terms", "counts")).alias("x"))
+    counted = cell.groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.counts").alias("df")).toPandas()
     df = np.zeros(len(vocab) + 1)
     df[counted["term"].to_numpy()] = counted["df"].to_numpy()
     idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
+    examples = _examples(texts, text, every.where("id is not null"), marks.select(F.col(key).cast("long").alias("id"), "toxic"), vocab, k, kind)
+    text_, term, weight, n = _vectors(examples, idf)
+    name = examples["id"].to_numpy()
+    index = Index(text_, term, weight, n, len(vocab))
+    model = {"vocab": vocab, "idf": idf, "index": index, "y": (examples["toxic"].to_numpy() > 0).astype(np.float64), "ids": name, "k": k}
     # of the sample only terms of the vocabulary come to the driver
     got = bags.mapInArrow(_keep(vocab), "id long, toxic int, terms array<int>, counts array<int>").orderBy("id").toArrow()
-    size = np.diff(np.asarray(got["terms"].combine_chunks().offsets)) if got.num_rows else np.zeros(0, np.int64)
+    text_, term, weight, n = _vectors(got, idf)
     y = (got["toxic"].to_numpy() > 0).astype(np.float64)
-    text_ = np.repeat(np.arange(len(y)), size)
-    term, count = got["terms"].combine_chunks().flatten().to_numpy().astype(np.int64), got["counts"].combine_chunks().flatten().to_numpy()
-    weight = tfidf(text_, term, count, idf, len(y))
-    some = np.flatnonzero(size > 0)
-    index = Index(np.searchsorted(some, text_), term, weight, len(some), len(vocab))
-    model = {"vocab": vocab, "idf": idf, "index": index, "y": y[some], "ids": got["id"].to_numpy()[some], "k": k}
-    votes, end = np.zeros(len(y)), np.cumsum(size)
-    for e, i in enumerate(some):
-        s = slice(end[i] - size[i], end[i])
-        votes[i] = _vote(model, *index.nearest(term[s], weight[s], k, e))
+    votes, cut = np.zeros(n), np.searchsorted(text_, np.arange(n + 1))
+    own = np.searchsorted(name, got["id"].to_numpy())
+    for i in np.flatnonzero(np.diff(cut)):
+        s = slice(cut[i], cut[i + 1])
+        itself = int(own[i]) if own[i] < len(name) and name[own[i]] == got["id"][int(i)].as_py() else -1
+        votes[i] = _vote(model, *index.nearest(term[s], weight[s], k, itself))
     model["at"], model["p"] = isotonic(votes, y)
     return model
 
 
+def _vectors(rows: pa.Table, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(row, term, weight) of rows' terms and counts, and how many rows there are."""
+    flat = lambda c: rows[c].combine_chunks().flatten().to_numpy().astype(np.int64) if rows.num_rows else np.zeros(0, np.int64)
+    size = pc.list_value_length(rows["terms"]).to_numpy() if rows.num_rows else np.zeros(0, np.int64)
+    row, term = np.repeat(np.arange(rows.num_rows), size), flat("terms")
+    return row, term, tfidf(row, term, flat("counts"), idf, rows.num_rows), rows.num_rows
+
+
+def _examples(texts: DataFrame, text: str, bags: DataFrame, marks: DataFrame, vocab: np.ndarray, k: int, kind: str) -> pa.Table:
+    """All labelled texts (id, toxic, terms, counts) that have a term, by id; of those of equal terms and counts the first k + 1."""
+    twice = stored(texts.groupBy("id").count().where("count > 1").select("id"))
+    if not twice.isEmpty():  # of rows that repeat an id that of the smallest text counts, with a term or without
+        again = one_text_per_id(texts.join(small(twice), "id", "left_semi"), "id", text).mapInArrow(_bagged(vocab), kind)
+        bags = bags.join(small(twice), "id", "left_anti").unionByName(again.where("id is not null"))
+    first = Window.partitionBy("terms", "counts").orderBy("id")
+    held = bags.join(marks, "id").withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
+    return held.select("id", F.col("toxic").cast("int").alias("toxic"), "terms", "counts").orderBy("id").toArrow()
+
+
 def _keep(vocab: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,7 +255,7 @@ def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str =
     d = ids(docs, key, text).select(F.col(key).cast("long").alias("doc_id"), text)
     if model is None:
         return d.select("doc_id", F.lit(0.0).alias("toxicity"), F.lit(False).alias("toxic"), F.array().cast("array<long>").alias("neighbours"), F.array().cast("array<double>").alias("cosines"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # of max_labelled examples at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # k + 1 examples at most of each vector that labelled texts have
     out = d.mapInArrow(_score(shared), "doc_id long, toxicity double, neighbours array<long>, cosines array<double>")
     return out.select("doc_id", "toxicity", (F.col("toxicity") >= cut).alias("toxic"), "neighbours", "cosines")
 

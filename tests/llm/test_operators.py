@@ -284,6 +284,29 @@ def test_toxicity_neighbours_are_exact():
         assert near.tolist() == np.lexsort((np.arange(n), -s.round(12)))[:15].tolist() and cos == pytest.approx(s[near])
 
 
+def test_toxicity_neighbours_are_of_all_labelled_texts(spark):
+    """However few labelled texts give the vocabulary, neighbours equal brute force over all, ties and repeated ids included."""
+    r = random.Random(3)
+    bad = "vile rotten scum filth vermin".split()
+    docs = [(i, prose(i, 12) + (" " + " ".join(r.choice(bad) for _ in range(r.randrange(1, 5))) if i % 3 == 0 or i % 20 == 1 else "")) for i in range(400)]
+    docs += [(3, "a row that repeats an id"), (6, "vile scum")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(frame, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(380)], "doc_id long, toxic int"), max_labelled=90)
+    place = {h: i for i, h in enumerate(model["vocab"].tolist())}
+    held = [(i, Counter(place[h] for h in words(pa.array([t]))[0].tolist() if h in place)) for i, t in docs]
+    df = np.bincount([x for _, c in held for x in c], minlength=len(place))
+    assert len(place) >= 3 and model["idf"] == pytest.approx(np.log((len(docs) + 1) / (df + 1)) + 1)
+    dense = np.zeros((len(docs), len(place)))
+    for n, (_, c) in enumerate(held):
+        for x, m in c.items():
+            dense[n, x] = (1 + np.log(m)) * model["idf"][x]
+    dense /= np.maximum(np.linalg.norm(dense, axis=1), 1e-300)[:, None]
+    lone = [min((t, n) for n, (j, t) in enumerate(docs) if j == i)[1] for i in range(380)]
+    cos = (dense @ dense[lone].T).round(12)
+    want = Counter(tuple(np.lexsort((np.arange(380), -c))[: min(15, (c > 0).sum())].tolist()) for c in cos)
+    assert Counter(tuple(q["neighbours"]) for q in toxicity.score(frame, model).collect()) == want and len(want) > 15
+
+
 def test_range_coder_round_trip(spark):
     r = random.Random(7)
     for n in (0, 1, 2, 65, 700, 3000):
@@ -488,6 +511,25 @@ def test_packing_cuts_large_components(spark):
         assert sorted(q["id"] for q in rows) == list(range(60)) and max(Counter(q["component"] for q in rows).values()) <= max(most, 20)
 
 
+def test_packing_walks_components_whole_whatever_their_size(spark):
+    """The texts of the pipeline's last stage: components beyond what one task holds keep all their links."""
+    df = spark.createDataFrame([(i, t) for i, t in related().items()], "doc_id long, text string")
+    want = sorted(packing.pack(df, window=64).collect())
+    for most in (7, 60):
+        assert sorted(packing.pack(df, window=64, most=most).collect()) == want
+    r = random.Random(6)
+    links = {frozenset((i, j)): r.choice([0.2, 0.5, 0.7]) for n, m in ((0, 50), (100, 3), (200, 70)) for i in range(n, n + m) for j in (n, i + 1, r.randrange(n, n + m)) if i != j and j < n + m}
+    rows = [(i, j, c) for x, c in links.items() for i, j in (sorted(x), sorted(x, reverse=True))]
+    near = spark.createDataFrame(rows + rows[::7], "id long, near long, cos double")
+    beside = {}
+    for n, m in ((0, 50), (100, 3), (200, 70)):
+        mine = [sorted((j - n, c) for i, j, c in rows if i == n + d) for d in range(m)]
+        order, path = packing.walk([(np.array([j for j, _ in x]), np.array([c for _, c in x])) for x in mine])
+        beside |= {n + d: (n, p, step) for step, (d, p) in enumerate(zip(order.tolist(), path.tolist()))}
+    for most in (2, 50, 1000):
+        assert {q["id"]: (q["component"], q["path"], q["step"]) for q in packing.walks(near, most).collect()} == beside
+
+
 def test_packing_of_repeated_ids_and_hot_fingerprints(spark):
     docs = [(i, prose(1, 60)) for i in range(30)] + [(5, prose(1, 60) + " longer"), (5, None), (6, "")]
     rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), window=64, often=2, hot=10).collect()
