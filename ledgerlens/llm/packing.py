@@ -362,7 +362,7 @@ def _each(targets: int):
                 t = pa.Table.from_batches([b.slice(i, 1)])
                 doc, size = _flat(t, "ids", np.int64), _flat(t, "sizes", np.int32).astype(np.int64)
                 target = (mix(doc.view(np.uint64)) % np.uint64(targets)).astype(np.int64)
-                gram, weight = (np.full(len(doc), t[c][0].as_py()) for c in ("gram", "weight"))
+                gram, weight = (np.full(len(doc), t[c][0].as_py(), np.int32) for c in ("gram", "weight"))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (target, doc, size, gram, weight)], ["target", "id", "size", "gram", "weight"])
     return run
 
@@ -427,11 +427,21 @@ def _tile(k: int):
     return run
 
 
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """The rows with a number each from 0 on, without gaps and in their order."""
+    drawn = stored(rows.withColumn("m", F.monotonically_increasing_id()))
+    sizes = drawn.groupBy(F.shiftright("m", 33).alias("task")).agg(F.count("*").alias("n"))
+    before = sizes.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    got = drawn.join(F.broadcast(before), F.shiftright("m", 33) == F.col("task"))
+    return stored(got.withColumn(name, F.col("m").bitwiseAND((1 << 33) - 1) + F.col("before")).drop("m", "task", "before"))
+
+
 def _classes(long: DataFrame, k: int, targets: int) -> tuple[DataFrame, DataFrame]:
     """Of long lists' rows: (target, id, class, weight, size) of each holder, and of each class its fingerprints and k + 1 smallest texts."""
     whole = long.groupBy("gram").agg(F.expr("bit_xor(sig)").alias("sig"), F.sum(F.octet_length("ids")).alias("n"))
-    names = stored(whole.where("n > 8").groupBy("sig", "n").agg(F.min("gram").alias("gram"), F.count("*").alias("weight")))
-    each = long.select("gram", "ids", "sizes").join(names.select("gram", "weight"), "gram").select("gram", "weight", "ids", "sizes").mapInArrow(_each(targets), "target long, id long, size long, gram long, weight long")
+    names = whole.where("n > 8").groupBy("sig", "n").agg(F.min("gram").alias("gram"), F.count("*").cast("int").alias("weight"))
+    names = _numbered(names.select("gram", "weight"), "number").withColumn("number", F.col("number").cast("int"))  # half as wide as fingerprints on all ways from here
+    each = long.select("gram", "ids", "sizes").join(names, "gram").select(F.col("number").alias("gram"), "weight", "ids", "sizes").mapInArrow(_each(targets), "target long, id long, size long, gram int, weight int")
     held = each.groupBy("id").agg(F.first("target").alias("target"), F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("gram", "weight"))).alias("held"), F.sum("weight").alias("weight"))
     held = stored(held.select("target", "id", "size", F.xxhash64("held").alias("class"), "weight", "held"))
     first = held.withColumn("r", F.row_number().over(Window.partitionBy("class").orderBy("size", "id"))).where(F.col("r") <= k + 1)
@@ -450,7 +460,7 @@ def _nearest_of_classes(kinds: DataFrame, k: int, asked: int | None = None, othe
     rows, columns = max(1, rows), max(1, -(-total // others))
     of = lambda n, other, name, all_: [F.pmod("class", F.lit(n)).alias(name), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(all_)]
     none = F.array().cast("array<long>")
-    ask = kinds.select(F.lit(0).alias("role"), "class", "grams", none.alias("weights"), none.alias("ids"), none.alias("sizes"), *of(rows, columns, "a", "b"))
+    ask = kinds.select(F.lit(0).alias("role"), "class", "grams", F.array().cast("array<int>").alias("weights"), none.alias("ids"), none.alias("sizes"), *of(rows, columns, "a", "b"))
     reply = kinds.select(F.lit(1).alias("role"), "class", "grams", "weights", "ids", "sizes", *of(columns, rows, "b", "a"))
     best = ask.unionByName(reply).groupBy("a", "b").applyInArrow(_tile(k), _TILE)
     by = Window.partitionBy("class").orderBy(F.desc(_square()), "near")
@@ -673,10 +683,7 @@ def _large_walks(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select("component", F.col("near").alias("id"), F.col("id").alias("near"), "cos"))
     both = stored(both.groupBy("component", "id", "near").agg(F.max("cos").alias("cos")))
     degree = stored(both.groupBy("component", "id").agg(F.count("*").alias("degree")))
-    drawn = stored(degree.orderBy("component", "degree", "id").select("id", F.monotonically_increasing_id().alias("m")))
-    sizes = drawn.groupBy(F.shiftright("m", 33).alias("task")).agg(F.count("*").alias("n"))
-    before = sizes.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
-    number = stored(drawn.join(F.broadcast(before), F.shiftright("m", 33) == F.col("task")).select("id", (F.col("m").bitwiseAND((1 << 33) - 1) + F.col("before")).alias("at")))
+    number = _numbered(degree.orderBy("component", "degree", "id").select("id"), "at")
     ends = both.join(number.withColumnRenamed("at", "src"), "id").join(number.select(F.col("id").alias("near"), F.col("at").alias("dst")), "near")
     ends = ends.repartition("component").sortWithinPartitions("component", "src", F.desc("cos"), "near").select("component", "src", "dst")
     return ends.mapInArrow(_walk_spilled, "component long, at long, path long, step long").join(number, "at").select("id", "component", "path", "step")
