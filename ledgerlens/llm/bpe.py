@@ -24,7 +24,8 @@ from .pieces import PieceTable
 
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-CACHED = 200_000  # pieces a worker remembers
+CACHED = 200_000  # pairs a worker remembers
+SLICE = 1 << 18  # bytes of text encoded at once; the arrays for it take about 100 times as many
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -208,7 +209,7 @@ def piece_table(path: str, shared=None) -> PieceTable:
 def _encode(path: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(path, shared)
-        for b in slices(batches):
+        for b in slices(batches, most=SLICE):
             flat, n, exact = table.encode(b.column(1))
             null = b.column(1).is_null().to_numpy(zero_copy_only=False)
             tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(flat, pa.int32()), mask=pa.array(null))

@@ -18,7 +18,7 @@ import regex
 from .common import offsets
 from .textkernel import mix, powers
 
-MOST_PIECES = 2_000_000  # pieces a worker remembers; about 30 bytes each
+MOST_PIECES, MOST_IDS = 1_000_000, 8  # pieces a worker remembers, and ids for each of them on average; at most about 60 bytes each
 _OTHER, _LETTER, _DIGIT, _SPACE = range(4)
 
 
@@ -26,8 +26,8 @@ _OTHER, _LETTER, _DIGIT, _SPACE = range(4)
 def kinds() -> np.ndarray:
     """Of each code point: letter, digit, white space or other, as the pattern's classes have it."""
     out = np.zeros(0x110000, np.uint8)
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    every = "".join(map(chr, points))
+    points = np.delete(np.arange(0x110000, dtype=np.uint32), slice(0xD800, 0xE000))
+    every = points.tobytes().decode("utf-32-le")
     for kind, pattern in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
         for m in regex.finditer(pattern, every):
             out[points[m.start()] : points[m.end() - 1] + 1] = kind
@@ -79,7 +79,20 @@ class PieceTable:
 
     def clear(self) -> None:
         self.keys, self.rows = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)  # an open-addressing table; 0 is free
-        self.begin, self.tokens, self.entries, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.int32), 0, 0
+        self.begin, self.tokens, self.entries, self.used = np.zeros(1 << 12, np.int32), np.zeros(1 << 14, np.uint16 if len(self.size) <= 1 << 16 else np.int32), 0, 0
+        self.again = np.zeros(1 << 12, bool)  # met since it was learnt, or since the last time that others were forgotten
+
+    def _forget(self) -> None:
+        """Keep only pieces met again, and none if these are many themselves."""
+        k, r = self.keys[self.keys != 0], self.rows[self.keys != 0]
+        k, r = k[self.again[r]], r[self.again[r]]
+        n = self.begin[r + 1] - self.begin[r]
+        if 2 * len(k) > self.most or 2 * n.sum() > MOST_IDS * self.most:
+            return self.clear()
+        end = np.cumsum(n)
+        tokens = self.tokens[np.repeat(self.begin[r] - end + n, n) + np.arange(n.sum())]
+        self.clear()
+        self._enter(k, tokens, n)
 
     def _find(self, want: np.ndarray) -> np.ndarray:
         """The entry of each hash, -1 where there is none."""
@@ -111,20 +124,22 @@ class PieceTable:
     def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> np.ndarray:
         """Enter new pieces, of distinct hashes; their entries."""
         got = list(map(self.encode_piece, pieces))
-        n = np.array([len(g) for g in got], np.int64)
-        rows = np.arange(self.entries, self.entries + len(got), dtype=np.int32)
-        while len(self.begin) < self.entries + len(got) + 1:
-            self.begin = np.append(self.begin, np.zeros_like(self.begin))
-        while len(self.tokens) < self.used + n.sum():
+        return self._enter(keys, np.array([t for g in got for t in g], self.tokens.dtype), np.array([len(g) for g in got], np.int64))
+
+    def _enter(self, keys: np.ndarray, tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+        rows = np.arange(self.entries, self.entries + len(n), dtype=np.int32)
+        while len(self.begin) < self.entries + len(n) + 1:
+            self.begin, self.again = np.append(self.begin, np.zeros_like(self.begin)), np.append(self.again, np.zeros_like(self.again))
+        while len(self.tokens) < self.used + len(tokens):
             self.tokens = np.append(self.tokens, np.zeros_like(self.tokens))
-        self.begin[self.entries + 1 : self.entries + len(got) + 1] = self.used + np.cumsum(n)
-        self.tokens[self.used : self.used + n.sum()] = [t for g in got for t in g]
-        self.entries, self.used = self.entries + len(got), self.used + int(n.sum())
+        self.begin[self.entries + 1 : self.entries + len(n) + 1] = self.used + np.cumsum(n)
+        self.tokens[self.used : self.used + len(tokens)] = tokens
+        self.entries, self.used = self.entries + len(n), self.used + len(tokens)
         if 2 * self.entries > len(self.keys):
             old = self.keys != 0
             k, r = self.keys[old], self.rows[old]
             size = len(self.keys)
-            while size < 4 * self.entries:
+            while size < 2 * self.entries:
                 size *= 2
             self.keys, self.rows = np.zeros(size, np.uint64), np.zeros(size, np.int32)
             self._place(k, r)
@@ -150,17 +165,18 @@ class PieceTable:
         np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=total[1:])
         h = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
         h[h == 0] = 1
-        if self.entries > self.most:
-            self.clear()
+        if self.entries > self.most or self.used > MOST_IDS * self.most:
+            self._forget()
         row = self._find(h)
+        self.again[row[row >= 0]] = True
         lost = np.flatnonzero(row < 0)
         if len(lost):
             u, one, back = np.unique(h[lost], return_index=True, return_inverse=True)
             i = lost[one]
             row[lost] = self._learn(u, [text[a:b].encode("utf-8", "surrogatepass") for a, b in zip(s[i].tolist(), e[i].tolist())])[back]
-        begin, n = self.begin[row], self.begin[row + 1] - self.begin[row]
+        begin, n = self.begin[row].astype(np.int64), self.begin[row + 1] - self.begin[row]
         end = np.cumsum(n)
-        ids = self.tokens[np.repeat(begin - end + n, n) + np.arange(end[-1])]
+        ids = self.tokens[np.repeat(begin - end + n, n) + np.arange(end[-1])].astype(np.int32)
         piece = np.searchsorted(s, first)  # the first piece of each text
         count = np.diff(np.append(0, end)[piece])
         same = self._same(ids, count, raw, off)

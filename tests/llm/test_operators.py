@@ -163,6 +163,19 @@ def test_pieces_equal_the_pattern():
     assert exact.all() and ids.tolist() == [t for x in texts[:7] for t in ref.encode_ordinary(x or "")]
 
 
+def test_pieces_remembered_take_bounded_memory():
+    """op2_bpe: however many pieces a worker meets, its table stays small, and what is met again is not forgotten."""
+    asked = Counter()
+    table = pieces.PieceTable(lambda b: asked.update([b]) or list(b), [bytes([i]) for i in range(256)])
+    most = 0
+    for i in range(30):
+        text = "ever" + "".join(f" {j:07}" for j in range(i * 50_000, i * 50_000 + 50_000)) + " and again"
+        ids, count, exact = table.encode(pa.array([text]))
+        assert exact.all() and bytes(ids.tolist()).decode() == text
+        most = max(most, sum(a.nbytes for a in vars(table).values() if isinstance(a, np.ndarray)))
+    assert most < 70e6 and asked[b" again"] == asked[b"ever"] == 1 and len(asked) == 30 * 50_000 + 3
+
+
 def test_blocks_are_smaller_than_ids_and_damage_stays_in_its_block(spark):
     docs = spark.createDataFrame([(i, prose(i, 2000)) for i in range(8)], "doc_id long, text string")
     rows = rangecoder.write(docs, block=2048).collect()
