@@ -139,37 +139,55 @@ def _flat(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.concatenate(got)).view(kind).ravel()
 
 
-def _rows(target: np.ndarray, columns: dict[str, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Ascending ids as the first and the differences, as packs smaller."""
+    return np.append(a[:1], np.diff(a))
+
+
+def _ids(table: pa.Table, name: str) -> np.ndarray:
+    """The ids of a packed column that holds each row's ``_steps``."""
+    return np.concatenate([np.cumsum(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.int64).ravel()) for x in table[name].to_pylist()])
+
+
+def _rows(target: np.ndarray, columns: dict[str, tuple[np.ndarray, np.ndarray]], steps: tuple[str, ...] = ()) -> pa.RecordBatch:
     """One row for each value of the sorted ``target``; of each column (values, where each row's begin and the last ends)."""
-    cells = [pa.array([_pack(v[i:j]) for i, j in zip(c.tolist(), c[1:].tolist())], pa.binary()) for v, c in columns.values()]
+    cells = [pa.array([_pack(_steps(v[i:j]) if name in steps else v[i:j]) for i, j in zip(c.tolist(), c[1:].tolist())], pa.binary()) for name, (v, c) in columns.items()]
     return pa.RecordBatch.from_arrays([pa.array(target, pa.int64()), *cells], ["target", *columns])
 
 
 def _owned(target: np.ndarray, owner: np.ndarray, owned: dict[str, np.ndarray], inner: dict[str, np.ndarray]) -> pa.RecordBatch:
     """One row a target: of runs of equal ``owner`` the ``owned`` values and the lengths, and the ``inner`` values of all.
 
+    Of the ids, which ascend within a target, the row has the ``_steps``.
+
     The arrays are sorted by target, then owner.
     """
     at = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (target[1:] != target[:-1])))
     row = np.flatnonzero(np.append(True, target[at][1:] != target[at][:-1]))
     by_run, by_value = np.append(row, len(at)), np.append(at[row], len(target))
     runs = {name: v[at] for name, v in owned.items()} | {"counts": np.diff(np.append(at, len(target))).astype(np.int32)}
-    return _rows(target[at[row]], {n: (v, by_run) for n, v in runs.items()} | {n: (v, by_value) for n, v in inner.items()})
+    return _rows(target[at[row]], {n: (v, by_run) for n, v in runs.items()} | {n: (v, by_value) for n, v in inner.items()}, ("ids",))
 
 
 _HELD = "target long, ids binary, sizes binary, counts binary, grams binary"
 
 
 def _holders(gram: int, span: int, targets: int, hot):
-    """For each batch and target one row: texts, how many fingerprints each has in all and here, and these."""
+    """For each batch and target one row: texts, how many fingerprints each has in all and here, and these.
+
+    A fingerprint's target is its remainder by the number of targets, and the row has the quotient alone.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
 
         def out() -> pa.RecordBatch:
             doc, size, x = (np.concatenate(c) for c in zip(*held))
-            x = _deal(x, _place(doc), hot.value)
-            target = (mix(x.view(np.uint64)) % np.uint64(targets)).astype(np.int64)
+            if (doc[1:] < doc[:-1]).any():
+                order = np.argsort(doc, kind="stable")
+                doc, size, x = doc[order], size[order], x[order]
+            x, target = np.divmod(_deal(x, _place(doc), hot.value).view(np.uint64), np.uint64(targets))
+            target = target.astype(np.int64)
             order = np.argsort(target.astype(np.uint16) if targets < 1 << 16 else target, kind="stable")
             doc, size, x, target = doc[order], size[order], x[order], target[order]
             return _owned(target, doc, {"ids": doc, "sizes": size.astype(np.int32)}, {"grams": x})
@@ -199,7 +217,8 @@ def _lists(reach: int, cut: int, targets: int, hot):
     target but the fingerprint and the sum without carry of its holders' hashes.
     """
     def run(table: pa.Table) -> pa.Table:
-        doc, size, x = _flat(table, "ids", np.int64), _flat(table, "sizes", np.int32), _flat(table, "grams", np.int64)
+        doc, size = _ids(table, "ids"), _flat(table, "sizes", np.int32)
+        x = (_flat(table, "grams", np.uint64) * np.uint64(targets) + np.uint64(table["target"][0].as_py())).view(np.int64)
         own = np.repeat(np.arange(len(doc)), _flat(table, "counts", np.int32))
         order = np.argsort(_place(doc), kind="stable")
         doc, size = doc[order], size[order]
@@ -322,7 +341,7 @@ def _nearest(k: int):
         if not table.num_rows:
             return _none(_FOUND)
         count = _flat(table, "counts", np.int32)
-        doc, n = np.repeat(_flat(table, "ids", np.int64), count), np.repeat(_flat(table, "sizes", np.int32), count).astype(np.int64)
+        doc, n = np.repeat(_ids(table, "ids"), count), np.repeat(_flat(table, "sizes", np.int32), count).astype(np.int64)
         near, m, shared = _flat(table, "nears", np.int64), _flat(table, "near_sizes", np.int32).astype(np.int64), _flat(table, "shared", np.int32)
         order = np.lexsort((near, doc))
         doc, n, near, m, shared = doc[order], n[order], near[order], m[order], shared[order]
@@ -498,7 +517,7 @@ def neighbours(d: DataFrame, total: int, hot: tuple[np.ndarray, np.ndarray] | No
     ``total`` is about how many fingerprints all texts have, ``hot`` names those of very many holders and among how
     many tasks each is dealt.  Ids are distinct.
     """
-    targets = max(1, -(-total // bucket))
+    targets = -(-total // bucket) | 1  # odd, so that parts of one hot fingerprint, whole multiples of 2**52 apart, go to different ones
     shared = d.sparkSession.sparkContext.broadcast(hot or (np.zeros(0, np.int64), np.zeros(0, np.int64)))
     held = d.mapInArrow(_holders(gram, span, targets, shared), _HELD)
     lists = stored(held.groupBy("target").applyInArrow(_lists(reach, cut, targets, shared), _LISTS))

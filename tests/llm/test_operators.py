@@ -511,6 +511,30 @@ def test_packing_fingerprints_are_the_least_of_each_span():
     assert [set(x[text == i].tolist()) for i in range(len(texts))] == [prints(t or "") for t in texts] and tokens.tolist() == [len((t or "").split()) for t in texts]
 
 
+def test_packing_sends_fingerprints_in_few_bytes():
+    """op6_packing: what travels of each fingerprint, by the codec of shuffles, and that nothing is lost of it."""
+    r = random.Random(8)
+    docs = {(i * 7919) % 3001 - 50: " ".join(f"w{r.randrange(10**9)}" for _ in range(180)) + " the same nine words again in all of them here" for i in range(3000)}
+    texts, names = pa.array(docs.values(), pa.string()), np.array(list(docs))
+    text, x, _ = packing.fingerprints(texts)
+    hot = sorted(v for v, n in Counter(x.tolist()).items() if n >= 1000)
+    shared = type("Shared", (), {"value": (np.array(hot, np.int64), np.full(len(hot), 4000))})
+    batches = [pa.RecordBatch.from_arrays([pa.array(names[i : i + 1000]), texts[i : i + 1000]], ["id", "text"]) for i in range(0, 3000, 1000)]
+    rows = pa.Table.from_batches(list(packing._holders(packing.GRAM, packing.SPAN, 6501, shared)(iter(batches))))
+    bytes_ = sum(len(pa.compress(b"".join(rows[c].to_pylist()), "lz4", asbytes=True)) for c in ("ids", "sizes", "counts", "grams"))
+    assert bytes_ < 9 * len(x), bytes_ / len(x)
+    got, places = [], set()
+    for row in rows.to_pylist():
+        t = pa.Table.from_pylist([row])
+        size, n = packing._flat(t, "sizes", np.int32), packing._flat(t, "counts", np.int32)
+        part = packing._flat(t, "grams", np.uint64) * np.uint64(6501) + np.uint64(row["target"])
+        gram = (part & np.uint64(packing._GRAM)).astype(np.int64).tolist()
+        got += zip(np.repeat(packing._ids(t, "ids"), n).tolist(), np.repeat(size, n).tolist(), gram)
+        places |= {row["target"] for g in gram if g == hot[0]}
+    many = np.bincount(text)
+    assert sorted(got) == sorted(zip(names[text].tolist(), many[text].tolist(), x.tolist())) and len(places) > 1000
+
+
 def test_packing_cuts_large_components(spark):
     r = random.Random(5)
     links = [(i, j, c) for i in range(60) for j, c in ((i + 1, 0.9 if i % 20 != 19 else 0.15), (r.randrange(60), 0.05)) if i != j and j < 60]
