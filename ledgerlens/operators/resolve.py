@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import _keys_of, normalize_name
@@ -20,20 +20,25 @@ def with_keys(df: DataFrame, name: str, state: Column, first: str | None = None,
     return df.select("*", F.col("_nm.n").alias("_norm"), F.array_distinct(F.array_compact(keys)).alias("_keys")).drop("_nm")
 
 
-def key_index(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """How many members each lookup key, and each key within a state, leads to, and one of them.
+def known(members: DataFrame) -> DataFrame:
+    """(_lo, _hi, _norm, _state, _keys): each name in a state once, with the smallest and largest member that bears it."""
+    by = members.groupBy(F.coalesce("name", F.lit("")).alias("_name"), F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("_st")).agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"))
+    return with_keys(by, "_name", F.col("_st")).drop("_name", "_st")
 
-    All that a unique pick needs, so that a key of many members costs one row.  Members are (id, name, state, ...).
+
+def key_index(names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The smallest and largest member that each lookup key, and each key within a state, leads to.
+
+    All that a unique pick needs, so that a key of many members costs one row.  ``names`` are as ``known`` gives them.
     """
-    rows = with_keys(members.select("id", "name", "state"), "name", F.upper(F.trim(F.coalesce("state", F.lit(""))))).select("id", "_state", F.explode("_keys").alias("key")).distinct()
-    count = lambda by, n, one: rows.groupBy(*by).agg(F.count("*").alias(n), F.min("id").alias(one))
-    return count(["key"], "_n", "_one"), count(["key", "_state"], "_n_in", "_one_in")
+    inside = names.select("_lo", "_hi", "_state", F.explode("_keys").alias("key")).groupBy("key", "_state").agg(F.min("_lo").alias("_lo_in"), F.max("_hi").alias("_hi_in"))
+    return inside.groupBy("key").agg(F.min("_lo_in").alias("_lo"), F.max("_hi_in").alias("_hi")), inside
 
 
 def unique_pick(state: Column) -> Column:
     """The id of the only candidate in the state, or if none is in it the only one at all; null if it isn't unique."""
-    inside = (state != "") & F.col("_n_in").isNotNull()
-    return F.when(inside, F.when(F.col("_n_in") == 1, F.col("_one_in"))).otherwise(F.when(F.col("_n") == 1, F.col("_one")))
+    inside = (state != "") & F.col("_lo_in").isNotNull()
+    return F.when(inside, F.when(F.col("_lo_in") == F.col("_hi_in"), F.col("_lo_in"))).otherwise(F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")))
 
 
 def _shapes(norm: str, beginnings: str, whole: str) -> Column:
@@ -42,11 +47,10 @@ def _shapes(norm: str, beginnings: str, whole: str) -> Column:
     return F.concat(starts, F.array(F.concat(F.lit(whole), F.col(norm)), F.concat(F.lit("run:"), F.replace(F.col(norm), F.lit(" "), F.lit("")))))
 
 
-def _shape_index(members: DataFrame) -> DataFrame:
+def _shape_index(names: DataFrame) -> DataFrame:
     """(_shape, _st, _lo, _hi): the smallest and largest member that a shape leads to, in a state and (*) anywhere."""
-    m = members.select("id", F.explode(F.array(normalize_name("name"))).alias("_n"), F.upper(F.trim(F.coalesce("state", F.lit("")))).alias("_s")).where("_n <> ''")
-    rows = m.select("id", F.explode(F.array_distinct(F.array(F.lit("*"), F.when(F.col("_s") == "", "*").otherwise(F.col("_s"))))).alias("_st"), "_n")
-    return rows.select("id", "_st", F.explode(_shapes("_n", "is:", "of:")).alias("_shape")).groupBy("_shape", "_st").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"))
+    rows = names.where("_norm <> ''").select("_lo", "_hi", F.explode(F.array_distinct(F.array(F.lit("*"), F.when(F.col("_state") == "", "*").otherwise(F.col("_state"))))).alias("_st"), "_norm")
+    return rows.select("_lo", "_hi", "_st", F.explode(_shapes("_norm", "is:", "of:")).alias("_shape")).groupBy("_shape", "_st").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
 
 
 def resolve(rows: DataFrame, members: DataFrame, row_id: str = "row_id", name: str = "name", state: str | None = "state", first: str | None = None, last: str | None = None, bioguide: str | None = None) -> DataFrame:
@@ -54,22 +58,31 @@ def resolve(rows: DataFrame, members: DataFrame, row_id: str = "row_id", name: s
 
     With a bioguide id that lookup alone decides, even if it finds nothing.  Otherwise the first key, in order of
     how telling it is, with a unique candidate wins; then, within the state, names of which one begins the other.
-    All joins are by key: for what is left unresolved, names meet by their beginnings.
+    All joins are by key: for what is left unresolved, names meet by their beginnings.  What several rows ask alike is
+    resolved once.  The planner sizes exploded keys by the tables they come from and would broadcast any number of
+    them, so joins merge.
     """
-    st = F.upper(F.trim(F.coalesce(F.col(state), F.lit("")))) if state else F.lit("")
-    bio = F.upper(F.trim(F.coalesce(F.col(bioguide), F.lit("")))) if bioguide else F.lit("")
-    base = with_keys(rows.withColumn("_bio", bio), name, st, first, last).select(row_id, "_norm", "_state", "_bio", "_keys")
-    every, inside = key_index(members)
-    tried = base.where("_bio = ''").select(row_id, "_state", F.posexplode("_keys").alias("_pos", "key")).join(every, "key").join(inside, ["key", "_state"], "left")
-    picked = tried.withColumn("member_id", unique_pick(F.col("_state"))).where("member_id is not null")
-    by_key = picked.groupBy(row_id).agg(F.min_by(F.struct("member_id", F.col("key").alias("matched_key")), "_pos").alias("_m")).select(row_id, "_m.*", F.lit("key").alias("matched_kind"))
-    rest = base.where((F.col("_bio") == "") & (F.col("_norm") != "")).join(by_key, row_id, "left_anti")
-    keyed = rest.select(row_id, F.when(F.col("_state") == "", "*").otherwise(F.col("_state")).alias("_st"), F.explode(_shapes("_norm", "of:", "is:")).alias("_shape"))
-    fuzzy = (keyed.join(_shape_index(members), ["_shape", "_st"]).groupBy(row_id).agg(F.min("_lo").alias("member_id"), F.max("_hi").alias("_last")).where("member_id = _last")
-             .select(row_id, "member_id", F.lit(None).cast("string").alias("matched_key"), F.lit("prefix").alias("matched_kind")))
-    found = by_key.unionByName(fuzzy)
+    clean = lambda c: F.upper(F.trim(F.coalesce(F.col(c), F.lit("")))) if c else F.lit("")
+    bio, named = clean(bioguide), {"_name": name, "_first": first, "_last": last}
+    asks = {"_bio": bio} | {k: F.when(bio == "", F.coalesce(F.col(c), F.lit(""))).otherwise("") for k, c in named.items() if c} | {"_st": F.when(bio == "", clean(state)).otherwise("")}
+    asks = {k: v for k, v in asks.items() if (k != "_bio" or bioguide) and (k != "_st" or state)}
+    base = rows.select(row_id, *(v.alias(k) for k, v in asks.items()))
+    asked = base.select(*asks).distinct()
+    texts = asked.where("_bio = ''") if bioguide else asked
+    names = known(members)
+    every, inside = key_index(names)
+    keyed = with_keys(texts, "_name", F.col("_st") if state else F.lit(""), "_first" if first else None, "_last" if last else None)
+    tried = keyed.select(*asks, "_norm", "_state", F.posexplode_outer("_keys").alias("_pos", "key")).join(every.hint("merge"), "key", "left").join(inside.hint("merge"), ["key", "_state"], "left")
+    member = unique_pick(F.col("_state"))
+    tried = tried.groupBy(*asks, "_norm", "_state").agg(F.min(F.when(member.isNotNull(), F.struct("_pos", member.alias("member_id"), F.col("key").alias("matched_key")))).alias("_m"))
+    answer = lambda df, member_id, key, kind: df.select(*asks, F.col(member_id).alias("member_id"), key.alias("matched_key"), F.lit(kind).alias("matched_kind"))
+    found = answer(tried.where("_m is not null"), "_m.member_id", F.col("_m.matched_key"), "key")
+    rest = tried.where("_m is null").where("_norm <> ''").select(*asks, "_norm", "_state")
+    st = F.when(F.col("_state") == "", "*").otherwise(F.col("_state")).alias("_st")
+    shapes = rest.select("_norm", "_state").distinct().select("_norm", "_state", st, F.explode(_shapes("_norm", "of:", "is:")).alias("_shape"))
+    fuzzy = shapes.join(_shape_index(names).hint("merge"), ["_shape", "_st"]).groupBy("_norm", "_state").agg(F.min("_lo").alias("_one"), F.max("_hi").alias("_last_one")).where("_one = _last_one")
+    found = found.unionByName(answer(rest.join(fuzzy.hint("merge"), ["_norm", "_state"]), "_one", F.lit(None).cast("string"), "prefix"))
     if bioguide:
-        order = Window.partitionBy("_b").orderBy(F.desc("id"))
-        own = members.select(F.upper(F.trim("bioguide_id")).alias("_b"), "id").withColumn("_r", F.row_number().over(order)).where("_r = 1 and _b <> ''")
-        found = found.unionByName(base.join(own, F.col("_bio") == F.col("_b")).select(row_id, F.col("id").alias("member_id"), F.col("_b").alias("matched_key"), F.lit("bioguide").alias("matched_kind")))
-    return base.select(row_id).join(found, row_id, "left")
+        own = members.groupBy(F.upper(F.trim("bioguide_id")).alias("_b")).agg(F.max("id").alias("_id")).where("_b <> ''")
+        found = found.unionByName(answer(asked.join(own.hint("merge"), F.col("_bio") == F.col("_b")), "_id", F.col("_b"), "bioguide"))
+    return base.join(found.hint("merge"), [*asks], "left").select(row_id, "member_id", "matched_key", "matched_kind")

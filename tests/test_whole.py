@@ -95,6 +95,16 @@ def test_resolve_equals_brute_force(spark, sf_dir):
     assert "prefix" in {r["matched_kind"] for r in own.QUERIES["q33_prefix_fallback"](spark, sf_dir).collect()}
 
 
+def test_resolve_broadcasts_nothing(spark, sf_dir):
+    """The planner takes exploded keys for as small as the table they come from."""
+    import ledgerlens.queries as own
+
+    for name in ("q32_resolve_members", "q33_prefix_fallback"):
+        resolved = own.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        joins = [x for x in resolved.splitlines() if "Join " in x and ("(key#" in x or "_shape#" in x)]
+        assert joins and all("strategy=merge" in x for x in joins)
+
+
 def test_fara_rows_shifted_either_way(spark):
     from ledgerlens.operators.fara import PRINCIPAL, repair_principals
 
