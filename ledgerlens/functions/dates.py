@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _c, blank_to_null, strip_ws
+from .text import _c, blank_to_null, bound, strip_ws
 
 
 def iso_from_us(x: Column | str) -> Column:
     """m/d/yyyy or ISO text as ISO text, digits only: whether the day exists isn't asked."""
-    x = strip_ws(_c(x))
-    part = lambda i: F.regexp_extract(x, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", i)
-    us = F.concat(part(3), F.lit("-"), F.lpad(part(1), 2, "0"), F.lit("-"), F.lpad(part(2), 2, "0"))
-    return F.when(x.isin("", "--", "N/A"), None).when(x.rlike(r"^\d{4}-\d{2}-\d{2}$"), x).when(x.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), us)
+    us = lambda p: F.concat(p[2], F.lit("-"), F.lpad(p[0], 2, "0"), F.lit("-"), F.lpad(p[1], 2, "0"))
+    return bound(strip_ws(_c(x)), lambda v: F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}$"), v).when(v.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), bound(F.split(v, "/"), us)))
 
 
 def feed_date(x: Column | str) -> Column:
@@ -50,9 +48,9 @@ def reconcile_dates(start: Column | str, latest: Column | str, lookback_days: in
 
 def date_issue(transaction: Column | str, filing: Column | str, today: Column) -> Column:
     """missing, invalid, after_filing or future; null for a sound transaction date."""
-    t, f = F.try_to_date(_c(transaction), "yyyy-MM-dd"), F.try_to_date(_c(filing), "yyyy-MM-dd")
-    return (F.when(F.coalesce(_c(transaction), F.lit("")) == "", "missing").when(t.isNull(), "invalid")
-            .when(t > f, "after_filing").when(t > today, "future"))
+    days = F.struct(F.try_to_date(_c(transaction), "yyyy-MM-dd").alias("t"), F.try_to_date(_c(filing), "yyyy-MM-dd").alias("f"))
+    issue = lambda d: F.when(d["t"].isNull(), "invalid").when(d["t"] > d["f"], "after_filing").when(d["t"] > today, "future")
+    return F.when(F.coalesce(_c(transaction), F.lit("")) == "", "missing").otherwise(bound(days, issue))
 
 
 def retry_after(now: Column, attempts: Column, not_found: Column) -> Column:

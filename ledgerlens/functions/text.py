@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -25,6 +25,11 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.transform(F.array(x), f)[0]
+
+
 def strip_ws(x: Column | str) -> Column:
     """Trim white space of any kind, as Unicode has it, at both ends."""
     return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
@@ -32,7 +37,7 @@ def strip_ws(x: Column | str) -> Column:
 
 def squeeze(x: Column | str) -> Column:
     """Runs of white space become one space; none is left at the ends."""
-    return strip_ws(F.regexp_replace(_c(x), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(_c(x), r"(?U)[^\S ]\s*| \s+", " "))  # single spaces stay as they are
 
 
 def blank_to_null(x: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_issue, iso_from_us
 from ..functions.hashing import joined
 from ..functions.money import bracket_text
-from ..functions.text import _c, squeeze, strip_ws
+from ..functions.text import _c, bound, squeeze, strip_ws
 from ..rules.codes import house_action, house_asset, owner
 from .relational import pick_per_key
 
@@ -22,7 +22,7 @@ _FIELDS = ["asset", "ticker", "code", "action", "day", "notified", "owner_code",
 
 def clean_text(x: Column | str) -> Column:
     """One line without NULs, odd quotes and spaces, bullets, or spaces inside brackets."""
-    x = F.translate(F.translate(_c(x), "\u2019\u00a0\n\r\t\u2022", "'     "), "\u0000", "")
+    x = F.translate(_c(x), "\u2019\u00a0\n\r\t\u2022\u0000", "'     ")
     return squeeze(F.replace(F.replace(x, F.lit(" )"), F.lit(")")), F.lit("( "), F.lit("(")))
 
 
@@ -34,27 +34,29 @@ def clean_asset(x: Column, ticker: Column) -> Column:
         x = F.regexp_replace(x, noise, "")
     new = r"(?i)^(?:[A-Z]\s+)?S:\s+New\s+S\s+O:\s+.+?\bD:\s+(.+)$"
     described = r"(?i)^.*?(?:Trust\s+)?D:\s+(.+)$"
-    x = (F.when(x.rlike(new), F.trim(F.regexp_extract(x, new, 1)))
-         .when(x.rlike(described) & x.rlike(r"(?i)Trust|S O:|Investment Fund|Capital call"), F.trim(F.regexp_extract(x, described, 1))).otherwise(x))
+    x = bound(x, lambda v: F.when(v.rlike(new), F.trim(F.regexp_extract(v, new, 1)))
+              .when(v.rlike(described) & v.rlike(r"(?i)Trust|S O:|Investment Fund|Capital call"), F.trim(F.regexp_extract(v, described, 1))).otherwise(v))
     for noise, to in ((r"(?i)^(?:F\s+)?S:\s+New\s+", ""), (r"(?i)^S\s+O:\s+", ""), (r"(?i)^Trust\s+", ""), (r"(?i)^Capital Call\b", "Capital call"), (rf"(?i)^\s*(?:{_OWNERS})\s+", ""), (r"\s+\*\s*$", "")):
         x = F.regexp_replace(x, noise, to)
-    x = squeeze(x)
     placed = r"(?i)^(.+?,\s+[A-Za-z .'-]+,\s+[A-Z]{2})\s+([A-Z][A-Za-z0-9 .,&'/-]+)$"
-    x = F.when(x.rlike(placed), F.concat(F.trim(F.regexp_extract(x, placed, 2)), F.lit(" ("), F.trim(F.regexp_extract(x, placed, 1)), F.lit(")"))).otherwise(x)
+    x = bound(squeeze(x), lambda v: F.when(v.rlike(placed), F.concat(F.trim(F.regexp_extract(v, placed, 2)), F.lit(" ("), F.trim(F.regexp_extract(v, placed, 1)), F.lit(")"))).otherwise(v))
     x = F.regexp_replace(x, rf"(?i)^\s*(?:{_OWNERS})\s+", "")
     x = F.trim(F.regexp_replace(x, r"(?i)^.+?\b(?:JT|DC|SP|TR|Spouse/DC)\s+", ""))
     tail = F.concat(F.lit("("), ticker, F.lit(")"))
-    x = F.when(ticker.isNotNull() & x.endswith(tail), F.trim(F.substring(x, F.lit(1), F.length(x) - F.length(tail)))).otherwise(x)
-    return F.coalesce(F.nullif(x, F.lit("")), ticker, F.lit("Pending House PTR extraction"))
+    x = bound(x, lambda v: F.when(ticker.isNotNull() & v.endswith(tail), F.trim(F.substring(v, F.lit(1), F.length(v) - F.length(tail)))).otherwise(v))
+    return bound(x, lambda v: F.coalesce(F.when(v != "", v), ticker, F.lit("Pending House PTR extraction")))
 
 
 def transactions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each transaction that a report's text lists, numbered as they stand there."""
     body = F.regexp_replace(clean_text(text), r"(?i)^.*?\bCap\.\s*Gains\s*>\s*\$200\?\s*", "")
-    # the text is searched once; what each match holds is read off the match alone
-    rows = docs.withColumn("_rows", F.regexp_extract_all(body, F.lit(ROW), F.lit(0))).select(*docs.columns, F.posexplode("_rows").alias("_pos", "_match"))
-    rows = rows.select(*docs.columns, "_pos", F.struct(*(F.regexp_extract("_match", ROW, i + 1).alias(f) for i, f in enumerate(_FIELDS))).alias("_r"))
-    r = F.col("_r")
+    # the text is searched once: NULs, of which it has none left, come round what a match holds, and it is split by them
+    n = len(_FIELDS)
+    marked = F.split(F.regexp_replace(body, ROW, "\u0000" + "".join(f"${i + 1}\u0000" for i in range(n))), "\u0000")
+    none = F.array().cast("array<array<string>>")
+    found = bound(marked, lambda p: F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(0), F.floor(F.size(p) / (n + 1)).cast("int") - 1), lambda i: F.slice(p, i * (n + 1) + 2, n))).otherwise(none))
+    rows = docs.select("*", F.posexplode(found).alias("_pos", "_match"))
+    r = {f: F.col("_match")[i] for i, f in enumerate(_FIELDS)}
     ticker = F.nullif(r["ticker"], F.lit(""))
     amount = bracket_text(r["amount"])
     return rows.select(*docs.columns, (F.col("_pos") + 1).alias("line_number"), clean_asset(strip_ws(r["asset"]), ticker).alias("asset_description"), ticker.alias("ticker"), house_asset(r["code"]).alias("asset_type"),

@@ -105,6 +105,20 @@ def test_resolve_broadcasts_nothing(spark, sf_dir):
         assert joins and all("strategy=merge" in x for x in joins)
 
 
+def test_reports_are_searched_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators import ptr
+
+    text = "Acme\u0000 Corp (ACM) [ST] S (partial) 1/2/2024 01/03/2024 SP $15,001 - $50,000 X Bond Fund [MF] P 2/30/2024 2/1/2024 Over $50,000,000 rest [x]"
+    docs = spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "doc_id long, text string").withColumns({"source_url": F.lit("u"), "filing_date": F.lit("2030-01-01"), "member_name": F.lit("A")})
+    rows = ptr.transactions(docs)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("{6,240}") == 1
+    got = [(r["doc_id"], r["line_number"], r["asset_description"], r["ticker"], r["transaction_type"], r["transaction_date"], r["amount_min"], r["owner"]) for r in rows.orderBy("line_number").collect()]
+    assert got == [(1, 1, "Acme Corp", "ACM", "sale", "2024-01-02", 15001, "spouse"), (1, 2, "Bond Fund", None, "purchase", "2024-02-30", 50000001, "self")]
+    assert [(r["doc_id"], r["n_transactions"]) for r in ptr.parse(docs, F.to_date(F.lit("2031-01-01")))[0].orderBy("doc_id").collect()] == [(1, 1), (2, 0), (3, 0)]
+
+
 def test_fara_rows_shifted_either_way(spark):
     from ledgerlens.operators.fara import PRINCIPAL, repair_principals
 
