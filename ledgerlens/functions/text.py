@@ -83,7 +83,10 @@ def normalize_name(x: Column | str, accents=strip_accents) -> Column:
 
 
 def _keys_of(name: Column, state: Column) -> Column:
-    parts = F.split(name, " ")
+    return bound(F.struct(name.alias("n"), state.alias("s")), lambda v: bound(F.split(v["n"], " "), lambda p: _keys(v["n"], p, v["s"])))
+
+
+def _keys(name: Column, parts: Column, state: Column) -> Column:
     last, ends = F.element_at(parts, -1), F.concat_ws(" ", F.element_at(parts, 1), F.element_at(parts, -1))
     with_state = lambda x: F.when(state != "", F.concat(x, F.lit("|"), state))
     more = F.when(F.size(parts) >= 2, F.array(ends, with_state(ends), last, with_state(last))).otherwise(F.array().cast("array<string>"))
@@ -95,9 +98,8 @@ def lookup_keys(name: Column | str, first: Column | str | None = None, last: Col
     st = F.upper(strip_ws(F.coalesce(_c(state), F.lit("")))) if state is not None else F.lit("")
     keys = _keys_of(normalize_name(name), st)
     if last is not None:
-        f = normalize_name(first) if first is not None else F.lit("")
-        tail = normalize_name(last)
-        other = F.when(tail == "", "").when(f != "", F.concat_ws(" ", f, tail)).otherwise(tail)
+        named = F.struct((normalize_name(first) if first is not None else F.lit("")).alias("f"), normalize_name(last).alias("l"))
+        other = bound(named, lambda v: F.when(v["l"] == "", "").when(v["f"] != "", F.concat_ws(" ", v["f"], v["l"])).otherwise(v["l"]))
         keys = F.concat(keys, _keys_of(normalize_name(other), st))
     return F.array_distinct(F.array_compact(keys))
 

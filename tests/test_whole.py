@@ -119,6 +119,16 @@ def test_reports_are_searched_once(spark):
     assert [(r["doc_id"], r["n_transactions"]) for r in ptr.parse(docs, F.to_date(F.lit("2031-01-01")))[0].orderBy("doc_id").collect()] == [(1, 1), (2, 0), (3, 0)]
 
 
+def test_lookup_keys_normalise_each_name_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.functions.text import lookup_keys
+
+    df = spark.createDataFrame([("Sen. Ana B. Müller", "Ana", "Müller", "ny"), (None, None, "Ostrow", None), ("", "", "", "CA")], "n string, f string, l string, s string").select(lookup_keys("n", "f", "l", "s").alias("k"))
+    assert df._jdf.queryExecution().analyzed().toString().count("representative") == 4  # whole, first, last, first and last
+    assert [r["k"] for r in df.select(F.col("k")).collect()] == [["ana b muller", "ana b muller|NY", "ana muller", "ana muller|NY", "muller", "muller|NY"], ["ostrow"], []]
+
+
 def test_fara_rows_shifted_either_way(spark):
     from ledgerlens.operators.fara import PRINCIPAL, repair_principals
 
